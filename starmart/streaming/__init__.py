@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The source system is a run-once batch load followed by batch reports; it has
+no streams, watermarks, windows over event time or stateful operators, so
+there is nothing to express with Structured Streaming here. Incremental
+loading is covered by the batch insert-if-absent loads.
+"""
