@@ -22,7 +22,7 @@ def absent_from(candidates: DataFrame, existing: DataFrame, keys: Sequence[str])
     same as the ``LEFT JOIN … IS NULL`` form it replaces.
     """
     keys = list(keys)
-    return candidates.join(existing.select(*keys), on=keys, how="left_anti")
+    return candidates.join(existing.select(*keys), on=keys, how="left_anti").select(*candidates.columns)
 
 
 def present_in(children: DataFrame, parents: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -32,4 +32,4 @@ def present_in(children: DataFrame, parents: DataFrame, keys: Sequence[str]) ->
     keys are unique, so it equals the inner join of the source SQL.
     """
     keys = list(keys)
-    return children.join(parents.select(*keys), on=keys, how="left_semi")
+    return children.join(parents.select(*keys), on=keys, how="left_semi").select(*children.columns)

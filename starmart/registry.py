@@ -22,6 +22,7 @@ from starmart.load import run_load
 from starmart.plans import analytics, dims, quality
 from starmart.plans.star import CleanTables, Star, build_star, clean_all
 from starmart.session import scratch_path
+from starmart.sinks import export
 from starmart.sinks.warehouse import Warehouse
 from starmart.sources.testdata import load_testdata
 
@@ -84,6 +85,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validate_null_keys": _on_star(quality.validate_null_keys),
     "validate_price_sum": _on_both(quality.validate_price_sum),
     "audit_constraints": _on_both(quality.audit_constraints),
+    # exports
+    "warehouse_dump": lambda spark, sf: export.dump_statements(
+        {k: v for k, v in stored(spark, sf)[1].as_dict().items() if k != "orders_snapshot"}
+    ),
+    "table_profile": lambda spark, sf: export.table_profile(spark, stored(spark, sf)[1].as_dict()),
     # inputs (the stand-in for the five source files)
     "staging_orders": _raw("orders"),
     "staging_items": _raw("items"),

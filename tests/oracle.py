@@ -421,4 +421,59 @@ SELECT 'DW: Soma Total Preço', CAST(SUM(price) AS DECIMAL(38,2)) FROM fact_sale
     "load_fact_sales": "SELECT * FROM fact_sales",
 }
 
+def _lit(col: str, kind: str) -> str:
+    """DuckDB rendering of a value as a SQL literal (NULL, quoted text, True)."""
+    if kind == "text":
+        body = "'''' || replace(CAST(" + col + " AS VARCHAR), '''', '''''') || ''''"
+    elif kind == "bool":
+        body = f"CASE WHEN {col} THEN 'True' ELSE 'False' END"
+    else:
+        body = f"CAST({col} AS VARCHAR)"
+    return f"CASE WHEN {col} IS NULL THEN 'NULL' ELSE {body} END"
+
+
+_DUMP_TABLES = [
+    ("dim_customer", [("customer_sk", "num"), ("customer_id", "text"), ("effective_from", "text"),
+                      ("effective_to", "text"), ("is_current", "bool")]),
+    ("dim_product", [("product_sk", "num"), ("product_id", "text")]),
+    ("dim_seller", [("seller_sk", "num"), ("seller_id", "text")]),
+    ("dim_date", [("date_sk", "num"), ("full_date", "text"), ("year", "num"), ("month", "num"), ("day", "num"),
+                  ("quarter", "num"), ("day_of_week", "num"), ("week_of_year", "num")]),
+    ("fact_sales", [("sale_sk", "num"), ("order_id", "text"), ("customer_sk", "num"), ("product_sk", "num"),
+                    ("seller_sk", "num"), ("date_sk", "num"), ("price", "num"), ("freight_value", "num")]),
+]
+
+
+def _dump_part(pos: int, table: str, cols: list[tuple[str, str]]) -> str:
+    names = ", ".join(c for c, _ in cols)
+    values = " || ', ' || ".join(_lit(c, k) for c, k in cols)
+    return (
+        f"SELECT {pos} AS position, '{table}' AS table_name, "
+        f"'INSERT INTO analytics.{table} ({names}) VALUES (' || {values} || ');' AS statement FROM {table}"
+    )
+
+
+_BODIES["warehouse_dump"] = "\nUNION ALL\n".join(
+    _dump_part(pos, t, cols) for pos, (t, cols) in enumerate(_DUMP_TABLES, start=1)
+)
+
+_SNAPSHOT_COLUMNS = [
+    "order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
+    "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date",
+]
+
+
+def _profile_part(table: str, source: str, cols: list[str]) -> str:
+    listing = ",".join(f'"{c}"' for c in cols)
+    return (
+        f"SELECT '{table}' AS tablename, CAST(COUNT(*) AS BIGINT) AS record_count, "
+        f"'[{listing}]' AS columns_list FROM {source}"
+    )
+
+
+_BODIES["table_profile"] = "\nUNION ALL\n".join(
+    [_profile_part(t, t, [c for c, _ in cols]) for t, cols in _DUMP_TABLES]
+    + [_profile_part("orders_snapshot", "df_orders", _SNAPSHOT_COLUMNS)]
+)
+
 ORACLE_SQL: dict[str, str] = {name: _q(body) for name, body in _BODIES.items()}
