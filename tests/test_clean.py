@@ -1,0 +1,76 @@
+from decimal import Decimal
+
+import pytest
+
+from starmart.plans.star import clean_all
+from tests.helpers import customer, item, order, product, raw, seller, ts
+
+
+def _basic(spark, **over):
+    rows = dict(
+        customers=[customer("c-1"), customer("c1")],
+        sellers=[seller("s-1")],
+        products=[product("p-1")],
+        orders=[order("o-1", "c-1", purchase=ts(2017, 1, 5))],
+        items=[item("o-1", 1, "p-1", "s-1")],
+    )
+    rows.update(over)
+    return clean_all(raw(spark, **rows))
+
+
+def test_hyphenated_and_plain_ids_are_one_row(spark):
+    tb = _basic(spark)
+    assert [r.customer_id for r in tb.customers.collect()] == ["c1"]
+    assert tb.orders.first().order_id == "o1"
+    assert tb.order_items.first().product_id == "p1"
+
+
+def test_null_text_gets_defaults(spark):
+    tb = _basic(spark, orders=[order("o-1", "c-1", status=None, purchase=ts(2017, 1, 5))])
+    c = tb.customers.first()
+    assert (c.customer_zip_code_prefix, c.customer_city, c.customer_state) == ("00000", "Desconhecido", "XX")
+    s = tb.sellers.first()
+    assert (s.seller_zip_code_prefix, s.seller_city, s.seller_state) == ("00000", "Desconhecido", "XX")
+    p = tb.products.first()
+    assert p.product_category_name == "outros"
+    assert all(p[c] == 0 for c in p.asDict() if c not in ("product_id", "product_category_name"))
+    assert tb.orders.first().order_status == "indefinido"
+
+
+def test_null_money_becomes_zero(spark):
+    tb = _basic(spark, items=[item("o-1", 1, "p-1", "s-1", price=None, freight=None)])
+    r = tb.order_items.first()
+    assert (r.price, r.freight_value) == (Decimal("0.00"), Decimal("0.00"))
+
+
+def test_orphans_are_dropped(spark):
+    tb = _basic(
+        spark,
+        orders=[order("o-1", "c-1", purchase=ts(2017, 1, 5)), order("o-2", "c-404", purchase=ts(2017, 1, 5))],
+        items=[
+            item("o-1", 1, "p-1", "s-1"),
+            item("o-404", 1, "p-1", "s-1"),
+            item("o-1", 2, "p-404", "s-1"),
+            item("o-1", 3, "p-1", "s-404"),
+            item("o-2", 1, "p-1", "s-1"),
+        ],
+    )
+    assert [r.order_id for r in tb.orders.collect()] == ["o1"]
+    assert [(r.order_id, r.order_item_id) for r in tb.order_items.collect()] == [("o1", 1)]
+
+
+def test_item_dedup_keeps_first_in_total_order(spark):
+    tb = _basic(
+        spark,
+        products=[product("p-1"), product("p-2")],
+        items=[item("o-1", 1, "p-2", "s-1"), item("o-1", 1, "p-1", "s-1", price="99.00")],
+    )
+    rows = tb.order_items.collect()
+    assert len(rows) == 1 and rows[0].product_id == "p1" and rows[0].price == Decimal("99.00")
+
+
+def test_null_primary_key_fails_the_job(spark):
+    with pytest.raises(Exception, match="NOT NULL"):
+        _basic(spark, customers=[customer("c-1"), (None, "u", None, None, None)]).customers.collect()
+    with pytest.raises(Exception, match="NOT NULL"):
+        _basic(spark, items=[item("o-1", None, "p-1", "s-1")]).order_items.collect()

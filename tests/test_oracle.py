@@ -1,0 +1,46 @@
+"""Every registered query against its DuckDB restatement (sf0.001 tables)."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry
+from tools.oracle_check import TABLES, key, norm
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    import duckdb
+
+    con = duckdb.connect()
+    for t in TABLES:
+        p = f"{SF}/{t}.parquet"
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def test_every_query_has_an_oracle():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_matches_oracle(spark, duck, name):
+    df = entry.queries()[name](spark, SF)
+    rows = [tuple(norm(x) for x in r) for r in df.collect()]
+    cur = duck.execute(entry.oracle_sql()[name])
+    ocols = [d[0] for d in cur.description]
+    assert sorted(df.columns) == sorted(ocols)
+    perm = [ocols.index(c) for c in df.columns]
+    orows = [tuple(norm(r[i]) for i in perm) for r in cur.fetchall()]
+    assert len(rows) == len(orows)
+    assert sorted(rows, key=key) == sorted(orows, key=key)
+
+
+def test_entry_smoke(spark):
+    df = entry.entry(spark)
+    assert df.columns == ["year", "month", "total_vendas"]
+    assert df.count() > 0
