@@ -29,8 +29,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 4096
-SAMPLE_PER_BUCKET = 20
+MAX_BUCKETS = 8192
+SAMPLE_PER_BUCKET = 16
 
 
 def _key(df: DataFrame, order: Sequence[str]) -> Column:
