@@ -33,25 +33,28 @@ def fact_candidates(
 ) -> DataFrame:
     """Items with every surrogate key resolved (before the rerun guard).
 
-    Join order: the order header first (both sides large, one shuffle on
-    ``order_id`` that the clean step already produced), then the
-    dimensions. Which dimension joins broadcast is left to the planner's
-    size checks (static file sizes for stored tables, runtime sizes under
-    adaptive execution): a dimension that grows past the threshold falls
-    back to a shuffle join instead of flooding executor memory.
+    Join order for scale: the order-level keys (customer and date) are
+    resolved on the order headers, which are several times fewer than the
+    items; the items then meet the resolved headers in one shuffle on
+    ``order_id`` and the product and seller dimensions after that. The big
+    side is therefore shuffled three times, not four. Which dimension joins
+    broadcast is left to the planner's size checks (static file sizes for
+    stored tables, runtime sizes under adaptive execution): a dimension that
+    grows past the threshold falls back to a shuffle join. All joins are
+    inner, as in the source, so the order of the lookups does not change the
+    result.
     """
-    head = orders.select(
-        "order_id",
-        "customer_id",
-        F.to_date("order_purchase_timestamp").alias("full_date"),
+    heads = (
+        orders.select("order_id", "customer_id", F.to_date("order_purchase_timestamp").alias("full_date"))
+        .join(dim_customer.where(F.col("is_current")).select("customer_id", "customer_sk"), "customer_id")
+        .join(dim_date.select("full_date", "date_sk"), "full_date")
+        .select("order_id", "customer_sk", "date_sk")
     )
     return (
         items.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value")
-        .join(head, "order_id")
-        .join(dim_customer.where(F.col("is_current")).select("customer_id", "customer_sk"), "customer_id")
+        .join(heads, "order_id")
         .join(dim_product.select("product_id", "product_sk"), "product_id")
         .join(dim_seller.select("seller_id", "seller_sk"), "seller_id")
-        .join(dim_date.select("full_date", "date_sk"), "full_date")
         .select(
             "order_id", "order_item_id", "customer_sk", "product_sk", "seller_sk", "date_sk",
             "price", "freight_value",

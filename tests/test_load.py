@@ -122,3 +122,16 @@ def test_audit_counts_violations(spark):
     assert got[("tb_order_items", "primary key (order_id, order_item_id)")] == 1
     assert got[("tb_order_items", "foreign key (product_id) -> tb_products")] == 1
     assert got[("tb_sellers", "primary key (seller_id)")] == 0
+
+
+def test_catalog_registration_and_cleanup(spark, tmp_root):
+    _load(spark, tmp_root)
+    wh = Warehouse(spark, tmp_root)
+    names = wh.register("analytics_test")
+    assert {"fact_sales", "dim_date", "tb_orders"} <= set(names)
+    assert spark.sql("SELECT COUNT(*) FROM fact_sales").first()[0] == 3  # unqualified name resolves
+    dropped = wh.drop_intermediates()
+    assert "tb_orders" in dropped and not wh.exists("tb_orders")
+    assert not spark.catalog.tableExists("tb_orders", "analytics_test")
+    assert wh.exists("fact_sales") and wh.exists("orders_snapshot")
+    spark.catalog.setCurrentDatabase("default")
