@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart import schemas
+from starmart.sources.layout import spread
 from starmart.sources.raw import RawSources
 
 EMPTY_SENTINEL = "\u0001"
@@ -55,7 +56,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         if isinstance(f.dataType, T.StringType):
             c = F.when(c == F.lit(EMPTY_SENTINEL), F.lit("")).otherwise(c)
         out.append(c.alias(f.name))
-    return df.select(*out)
+    return spread(df.select(*out))
 
 
 def read_sources(spark: SparkSession, folder: str, names: dict[str, str] | None = None) -> RawSources:

@@ -1,0 +1,27 @@
+"""Input layout: spread inputs that arrive in too few splits."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an input that scans as fewer partitions than task slots.
+
+    A single large file with one row group (or a CSV read with multi-line
+    records) is one scan task; everything up to the first shuffle — id
+    cleaning, parent filters, the pre-shuffle sort of the dedup — would run
+    in that one task. Inputs that already arrive in many splits (the normal
+    case at scale) are returned unchanged, so no shuffle is added there.
+    Rows are placed by a hash of *all* their columns: a hot key does not
+    land in one partition (its rows differ in other columns), and unlike
+    round-robin the placement needs no pre-sort to be the same when a task
+    is retried.
+    """
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave as is
+        return df
+    return df.repartition(slots, *[F.col(c) for c in df.columns]) if parts < slots else df

@@ -22,11 +22,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart import schemas
+from starmart.sources.layout import spread
 from starmart.sources.raw import RawSources
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table; inputs that grow with the scale are spread over the slots."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df if name == "nation" else spread(df)
 
 
 def _prefixed(prefix: str, c: str):
