@@ -3,17 +3,21 @@
 Order of work (each step one or a few Spark jobs):
 
 1. optional staging copy of the raw inputs (``tmp_*``, rebuilt);
-2. clean layer (``tb_*``, rebuilt) written once and read back, so the
-   dedup and parent joins run once and later steps scan Parquet;
-3. star tables created where absent; the tables as they stand are read;
-4. dimension rows this load adds (insert-if-absent, keys continue after the
-   current maximum) appended — dimensions before the fact;
-5. fact candidates resolved against the *published* dimensions and passed
-   through the rerun guard (against the fact as it stood before the load),
-   written to a staging table in the checkpoint folder — this cuts the
-   lineage before key assignment reads the rows several times — then keyed
-   and appended;
-6. constraint audit of the result (optionally raising on violations);
+2. clean layer (``tb_*``, rebuilt) written parents-first and read back, so
+   the dedup and parent filters run once and later steps scan Parquet;
+3. star tables created where absent; the tables as they stand are read
+   (the file listing is taken now: this is the "before" snapshot);
+4. every row this load adds is computed and *staged* first, in the shared
+   checkpoint folder: new dimension members (insert-if-absent, keys
+   continuing after the current maximum), then the fact rows — resolved
+   against existing ∪ staged dimensions and passed through the rerun guard
+   against the fact as it stood before the load. Staging also cuts the
+   lineage before key assignment reads the rows several times;
+5. the constraint audit runs over the clean layer and the star as it will
+   be (existing ∪ staged); with ``raise_on_violation`` nothing is published
+   when it finds anything;
+6. publish: dimensions first, then the fact (each one append job, visible
+   at job commit);
 7. orders snapshot rebuilt; intermediates dropped unless kept.
 
 A rerun after a failure anywhere is harmless: every append is
@@ -31,7 +35,8 @@ from pyspark.sql import functions as F
 
 from starmart.operators import next_key
 from starmart.plans import clean, dims, fact
-from starmart.plans.star import CleanTables
+from starmart.plans.quality import audit_constraints
+from starmart.plans.star import CleanTables, Star
 from starmart.session import checkpoint_root
 from starmart.sinks.warehouse import Warehouse
 from starmart.sources.raw import RawSources
@@ -41,6 +46,7 @@ from starmart.sources.raw import RawSources
 class LoadReport:
     added: dict[str, int] = field(default_factory=dict)
     violations: int | None = None
+    published: bool = False
 
 
 def stage_raw(wh: Warehouse, raw: RawSources) -> RawSources:
@@ -87,45 +93,41 @@ def run_load(
 
     wh.ensure_star()
     before = wh.read_star_tables()
-    # Row counts of Parquet tables come from file footers (no data scan).
-    before_counts = {name: df.count() for name, df in before.items()}
-    report = LoadReport()
-
-    new_dims = {
-        "dim_date": lambda: dims.new_dim_date(tb.orders, before["dim_date"]),
-        "dim_customer": lambda: dims.new_dim_customer(tb.customers, before["dim_customer"], load_date),
-        "dim_product": lambda: dims.new_dim_product(tb.products, before["dim_product"]),
-        "dim_seller": lambda: dims.new_dim_seller(tb.sellers, before["dim_seller"]),
-    }
-    for name, rows in new_dims.items():
-        # A dimension's new rows come from one scan of the (small) clean
-        # table and an anti join; appended directly, no staging needed.
-        wh.append(name, rows())
 
-    published = wh.read_star_tables()
+    added = {
+        "dim_date": stage(spark, "dim_date", dims.new_dim_date(tb.orders, before["dim_date"])),
+        "dim_customer": stage(
+            spark, "dim_customer", dims.new_dim_customer(tb.customers, before["dim_customer"], load_date)
+        ),
+        "dim_product": stage(spark, "dim_product", dims.new_dim_product(tb.products, before["dim_product"])),
+        "dim_seller": stage(spark, "dim_seller", dims.new_dim_seller(tb.sellers, before["dim_seller"])),
+    }
+    after = {name: before[name].unionByName(added[name]) for name in added}
     candidates = fact.fact_candidates(
         tb.order_items,
         tb.orders,
-        published["dim_customer"],
-        published["dim_product"],
-        published["dim_seller"],
-        published["dim_date"],
+        after["dim_customer"],
+        after["dim_product"],
+        after["dim_seller"],
+        after["dim_date"],
     )
-    fresh = stage(spark, "fact_sales", fact.rerun_guard(candidates, before["fact_sales"]))
-    wh.append("fact_sales", fact.key_fact(fresh, next_key(before["fact_sales"], "sale_sk")))
-
-    wh.overwrite(Warehouse.SNAPSHOT, tb.orders)
-    after = wh.read_star_tables()
-    for name in before:
-        report.added[name] = after[name].count() - before_counts[name]
+    fresh = stage(spark, "fact_candidates", fact.rerun_guard(candidates, before["fact_sales"]))
+    added["fact_sales"] = stage(spark, "fact_sales", fact.key_fact(fresh, next_key(before["fact_sales"], "sale_sk")))
+    after["fact_sales"] = before["fact_sales"].unionByName(added["fact_sales"])
 
+    report = LoadReport(added={name: df.count() for name, df in added.items()})
     if audit:
-        from starmart.plans.quality import audit_constraints
-
-        found = audit_constraints(wh.read_clean(), wh.read_star())
+        future = Star(**after, orders_snapshot=tb.orders)
+        found = audit_constraints(tb, future)
         report.violations = int(found.agg(F.sum("violations")).first()[0] or 0)
         if raise_on_violation and report.violations:
-            raise ValueError(f"constraint audit found {report.violations} violations")
+            raise ValueError(f"constraint audit found {report.violations} violations; nothing published")
+
+    for name in ("dim_customer", "dim_product", "dim_seller", "dim_date", "fact_sales"):
+        wh.append(name, added[name])
+    report.published = True
+
+    wh.overwrite(Warehouse.SNAPSHOT, tb.orders)
     if not keep_intermediate:
         wh.drop_intermediates()
     return report

@@ -135,3 +135,22 @@ def test_catalog_registration_and_cleanup(spark, tmp_root):
     assert not spark.catalog.tableExists("tb_orders", "analytics_test")
     assert wh.exists("fact_sales") and wh.exists("orders_snapshot")
     spark.catalog.setCurrentDatabase("default")
+
+
+def test_violation_blocks_publishing(spark, tmp_root):
+    import pytest
+
+    bad = raw(
+        spark,
+        customers=[customer("c-1", city="x" * 101)],
+        sellers=[seller("s-1")],
+        products=[product("p-1")],
+        orders=[order("o-1", "c-1", purchase=ts(2017, 1, 1))],
+        items=[item("o-1", 1, "p-1", "s-1")],
+    )
+    with pytest.raises(ValueError, match="nothing published"):
+        run_load(spark, bad, tmp_root, load_date=LOAD_DATE, raise_on_violation=True, keep_intermediate=True)
+    wh = Warehouse(spark, tmp_root)
+    assert all(df.count() == 0 for df in wh.read_star_tables().values())
+    report = run_load(spark, bad, tmp_root, load_date=LOAD_DATE, keep_intermediate=True)
+    assert report.violations == 1 and report.published
