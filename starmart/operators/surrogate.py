@@ -5,69 +5,44 @@
 ``start - 1 + row_number() OVER (ORDER BY order)`` — but never pulls all
 rows into a single partition:
 
-1. A bounded sample of the order key (about ``SAMPLE_PER_BUCKET`` rows per
-   bucket) is collected once and cut into ``B - 1`` split keys.
-2. ``bucket`` = position of the row's key among the split literals — a pure
-   function of the key (a balanced tree of comparisons, log2(B) deep), so it
-   does not depend on shuffle layout and a re-run task computes the same.
-3. ``rn`` = ``row_number()`` within the bucket, ordered by the key.
-4. Rows per bucket (B rows, a proven bound) → running offsets → broadcast
-   join; ``sk = start + offset + rn - 1``.
+1. The rows are range-partitioned on the order key into ``P`` partitions
+   (``P`` from the row count, about ``ROWS_PER_BUCKET`` rows each). Spark's
+   range partitioner samples the key once per job and places every row by a
+   binary search over the sampled bounds, so ``P`` can be in the hundreds
+   of thousands. Partition ``i`` holds only keys below those of ``i + 1``.
+2. Each partition is sorted by the key; a row's position in its partition
+   is the low bits of ``monotonically_increasing_id`` (its high bits are the
+   partition index).
+3. (partition, position) is written once to the shared checkpoint folder.
+   Writing fixes the range bounds: the counts and the numbering below read
+   the same rows, whatever a later re-execution would have sampled. Within
+   that job, a retried task reads the same shuffle output and sorts it by a
+   unique key, so it reproduces the same positions.
+4. Rows per partition (P rows, a proven bound) → running offsets →
+   broadcast join; ``sk = start + offset + position``.
 
 The order key must be unique (it is, for every caller: ids, or the item key).
-Monotonically-increasing-id and a partition-less window are not used: the
-first changes with the partition layout on retry, the second is one task.
 """
 
 from __future__ import annotations
 
 import math
-import random
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 8192
-SAMPLE_PER_BUCKET = 16
+_LOW_33_BITS = (1 << 33) - 1
 
 
-def _key(df: DataFrame, order: Sequence[str]) -> Column:
-    if len(order) == 1:
-        return F.col(order[0])
-    return F.struct(*[F.col(c) for c in order])
+def _write_back(df: DataFrame, name: str) -> DataFrame:
+    from starmart.session import checkpoint_root
 
-
-def _literal_key(df: DataFrame, order: Sequence[str], values: tuple) -> Column:
-    types = {f.name: f.dataType for f in df.schema.fields}
-    lits = [F.lit(v).cast(types[c]) for c, v in zip(order, values)]
-    return lits[0] if len(lits) == 1 else F.struct(*lits)
-
-
-def _bucket_expr(key: Column, splits: list[Column], lo: int, hi: int) -> Column:
-    """Index i in [lo, hi] such that splits[i-1] <= key < splits[i]."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi + 1) // 2  # first bucket of the right half
-    return F.when(key < splits[mid - 1], _bucket_expr(key, splits, lo, mid - 1)).otherwise(
-        _bucket_expr(key, splits, mid, hi)
-    )
-
-
-def choose_splits(df: DataFrame, order: Sequence[str], rows: int, buckets: int, seed: int = 17) -> list[tuple]:
-    """Collect a bounded, sorted sample of the key and cut it into split keys."""
-    fraction = min(1.0, SAMPLE_PER_BUCKET * buckets / max(rows, 1))
-    sample = [tuple(r) for r in df.select(*order).sample(False, fraction, seed).collect()]
-    if len(sample) < buckets:
-        return []
-    sample.sort()
-    cuts = []
-    for i in range(1, buckets):
-        cut = sample[(i * len(sample)) // buckets]
-        if not cuts or cut > cuts[-1]:
-            cuts.append(cut)
-    return cuts
+    path = f"{checkpoint_root(df.sparkSession)}/starmart/keys/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def assign_surrogate_keys(
@@ -79,39 +54,37 @@ def assign_surrogate_keys(
 ) -> DataFrame:
     """Add ``sk_col`` = start + (0-based rank of the row under ``order``)."""
     order = list(order)
+    out_cols = [*df.columns, sk_col]
     rows = df.count()
-    buckets = max(1, min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket)))
-    key = _key(df, order)
-    splits = choose_splits(df, order, rows, buckets, seed=random.Random(sk_col).randint(1, 10**6)) if buckets > 1 else []
-    if splits:
-        split_lits = [_literal_key(df, order, s) for s in splits]
-        bucket = _bucket_expr(key, split_lits, 0, len(split_lits))
-    else:
-        bucket = F.lit(0)
-
-    b, rn, off = "__sk_bucket", "__sk_rn", "__sk_offset"
-    with_bucket = df.withColumn(b, bucket)
-    numbered = with_bucket.withColumn(
-        rn, F.row_number().over(Window.partitionBy(b).orderBy(*[F.col(c).asc() for c in order]))
+    if rows == 0:
+        return df.withColumn(sk_col, F.lit(None).cast("long")).select(*out_cols)
+    parts = max(1, math.ceil(rows / rows_per_bucket))
+
+    p, pos, off = "__sk_part", "__sk_pos", "__sk_offset"
+    placed = (
+        df.repartitionByRange(parts, *[F.col(c).asc() for c in order])
+        .sortWithinPartitions(*order)
+        .withColumn(p, F.spark_partition_id())
+        .withColumn(pos, F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_33_BITS)))
     )
-    # One row per bucket: a few thousand rows at most, so one task and a
-    # broadcast are both bounded regardless of the data volume.
+    placed = _write_back(placed, sk_col)
+    # One row per partition: bounded by rows / ROWS_PER_BUCKET, so one task
+    # and a broadcast are both bounded regardless of the data volume.
     offsets = (
-        with_bucket.groupBy(b)
+        placed.groupBy(p)
         .agg(F.count(F.lit(1)).alias("__n"))
         .withColumn(
             off,
             F.coalesce(
-                F.sum("__n").over(Window.orderBy(b).rowsBetween(Window.unboundedPreceding, -1)),
+                F.sum("__n").over(Window.orderBy(p).rowsBetween(Window.unboundedPreceding, -1)),
                 F.lit(0),
             ),
         )
-        .select(b, off)
+        .select(p, off)
     )
-    out_cols = [*df.columns, sk_col]
     return (
-        numbered.join(F.broadcast(offsets), b)
-        .withColumn(sk_col, (F.lit(start) + F.col(off) + F.col(rn) - 1).cast("long"))
+        placed.join(F.broadcast(offsets), p)
+        .withColumn(sk_col, (F.lit(start) + F.col(off) + F.col(pos)).cast("long"))
         .select(*out_cols)
     )
 

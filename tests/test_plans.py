@@ -3,7 +3,7 @@
 import pytest
 
 from starmart import registry
-from starmart.plans import analytics, clean, dims
+from starmart.plans import analytics
 from starmart.plans.star import clean_all
 from starmart.sources.testdata import load_testdata
 
@@ -26,8 +26,11 @@ def test_dedup_is_a_group_limit_before_the_shuffle(spark):
 
 
 def test_new_members_use_anti_join(spark):
+    from starmart.operators import absent_from
+
     tb = clean_all(load_testdata(spark, SF))
-    assert "LeftAnti" in plan(dims.new_dim_product(tb.products, spark.createDataFrame([], "product_sk bigint, product_id string")))
+    existing = spark.createDataFrame([], "product_sk bigint, product_id string")
+    assert "LeftAnti" in plan(absent_from(tb.products.select("product_id"), existing, ["product_id"]))
 
 
 def test_parent_filter_is_semi_join(spark):

@@ -40,9 +40,20 @@ def test_empty_input_and_next_key(spark):
     assert next_key(spark.createDataFrame([(4,), (9,)], "sk bigint"), "sk") == 10
 
 
-def test_no_single_partition_window_over_rows(spark):
+def test_rows_are_placed_by_range_not_one_task(spark):
     df = spark.range(0, 2000).select(F.col("id").cast("string").alias("k"))
-    plan = assign_surrogate_keys(df, ["k"], "sk", rows_per_bucket=200)._jdf.queryExecution().executedPlan().toString()
-    # The row_number window is partitioned by the bucket; the only
-    # partition-less window runs over one row per bucket.
-    assert "__sk_bucket" in plan and "row_number()" in plan
+    out = assign_surrogate_keys(df, ["k"], "sk", rows_per_bucket=200)
+    parts = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    # the rows stay spread over ~10 range partitions; the only partition-less
+    # window runs over one row per partition (the offsets)
+    assert len(parts) >= 5
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "__sk_part" in plan
+
+
+def test_many_partitions(spark):
+    df = spark.range(0, 20000).select(F.concat(F.lit("O"), (F.col("id") * 7919 % 20000).cast("string")).alias("o"),
+                                      (F.col("id") % 3).cast("int").alias("n"))
+    got = assign_surrogate_keys(df, ["o", "n"], "sk", rows_per_bucket=10)  # 2000 range partitions
+    exp = _expected(df, ["o", "n"], 1)
+    assert {(r.o, r.n): r.sk for r in got.collect()} == exp
