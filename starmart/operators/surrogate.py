@@ -6,7 +6,8 @@
 rows into a single partition:
 
 1. The rows are range-partitioned on the order key into ``P`` partitions
-   (``P`` from the row count, about ``ROWS_PER_BUCKET`` rows each). Spark's
+   (``P`` from the row count: at most ``ROWS_PER_BUCKET`` rows each, and at
+   least one per task slot once there are enough rows). Spark's
    range partitioner samples the key once per job and places every row by a
    binary search over the sampled bounds, so ``P`` can be in the hundreds
    of thousands. Partition ``i`` holds only keys below those of ``i + 1``.
@@ -21,6 +22,9 @@ rows into a single partition:
 4. Rows per partition (P rows, a proven bound) → running offsets →
    broadcast join; ``sk = start + offset + position``.
 
+Inputs of at most ``MIN_ROWS_PER_PARTITION`` rows skip all this: one task
+numbers them with a global ``row_number`` (bounded by that same limit).
+
 The order key must be unique (it is, for every caller: ids, or the item key).
 """
 
@@ -34,6 +38,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 2_000_000
+# Below this many rows per partition, more partitions only add overhead.
+MIN_ROWS_PER_PARTITION = 50_000
 _LOW_33_BITS = (1 << 33) - 1
 
 
@@ -51,6 +57,7 @@ def assign_surrogate_keys(
     sk_col: str,
     start: int = 1,
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    min_rows_per_partition: int = MIN_ROWS_PER_PARTITION,
 ) -> DataFrame:
     """Add ``sk_col`` = start + (0-based rank of the row under ``order``)."""
     order = list(order)
@@ -58,7 +65,20 @@ def assign_surrogate_keys(
     rows = df.count()
     if rows == 0:
         return df.withColumn(sk_col, F.lit(None).cast("long")).select(*out_cols)
-    parts = max(1, math.ceil(rows / rows_per_bucket))
+    if rows <= min_rows_per_partition:
+        # Small enough for one task by the same bound that sizes the range
+        # partitions below: a plain global row_number, nothing written.
+        rank = F.row_number().over(Window.orderBy(*[F.col(c).asc() for c in order]))
+        return df.withColumn(sk_col, (F.lit(start) - 1 + rank).cast("long")).select(*out_cols)
+    # Enough partitions to bound each one, and — for mid-sized inputs — at
+    # least one per task slot, so the numbered table is not a single file
+    # that every later scan would read in one task.
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    parts = max(
+        1,
+        math.ceil(rows / rows_per_bucket),
+        min(slots, math.ceil(rows / max(min_rows_per_partition, 1))),
+    )
 
     p, pos, off = "__sk_part", "__sk_pos", "__sk_offset"
     placed = (
