@@ -5,6 +5,9 @@ from starmart.functions.dates import (
     elapsed_days,
     first_of_month,
     iso_day_of_week,
+    make_period,
+    parse_timestamp,
+    try_parse_timestamp,
     iso_week,
     month_index,
     months_between_starts,
@@ -18,6 +21,9 @@ __all__ = [
     "elapsed_days",
     "first_of_month",
     "iso_day_of_week",
+    "make_period",
+    "parse_timestamp",
+    "try_parse_timestamp",
     "iso_week",
     "month_index",
     "months_between_starts",

@@ -53,3 +53,17 @@ def elapsed_days(start: str | Column, end: str | Column) -> Column:
 def make_period(year: str | Column, month: str | Column) -> Column:
     """First-of-month date from year and month columns."""
     return F.make_date(_col(year), _col(month), F.lit(1))
+
+
+def parse_timestamp(c: str | Column) -> Column:
+    """Text → zone-less timestamp; malformed text (including '') fails the job.
+
+    The strict cast mirrors a typed target column: bad input is an error,
+    not a silent NULL. Use ``try_parse_timestamp`` where NULL is wanted.
+    """
+    return _col(c).cast("timestamp_ntz")
+
+
+def try_parse_timestamp(c: str | Column) -> Column:
+    """Text → zone-less timestamp, NULL when the text is not a timestamp."""
+    return F.try_to_timestamp(_col(c)).cast("timestamp_ntz")

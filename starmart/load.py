@@ -136,3 +136,46 @@ def run_load(
     if not keep_intermediate:
         wh.drop_intermediates()
     return report
+
+
+def main(argv: list[str] | None = None) -> int:
+    """``python -m starmart.load --warehouse PATH (--csv DIR | --testdata DIR)``."""
+    import argparse
+    import json
+
+    from starmart.session import build_session
+
+    ap = argparse.ArgumentParser(description="Load the star schema (rerun-safe).")
+    ap.add_argument("--warehouse", required=True, help="warehouse root (shared storage)")
+    src = ap.add_mutually_exclusive_group(required=True)
+    src.add_argument("--csv", help="folder with the five source CSV files")
+    src.add_argument("--testdata", help="folder with the TPC-H-like test tables")
+    ap.add_argument("--load-date", help="effective date of new customers (default: today)")
+    ap.add_argument("--keep-intermediate", action="store_true")
+    ap.add_argument("--strict", action="store_true", help="publish nothing when the audit finds violations")
+    args = ap.parse_args(argv)
+
+    spark = build_session()
+    if args.csv:
+        from starmart.sources.csv import read_sources
+
+        raw = read_sources(spark, args.csv)
+    else:
+        from starmart.sources.testdata import load_testdata
+
+        raw = load_testdata(spark, args.testdata)
+    report = run_load(
+        spark,
+        raw,
+        args.warehouse,
+        load_date=args.load_date,
+        stage_inputs=bool(args.csv),
+        keep_intermediate=args.keep_intermediate,
+        raise_on_violation=args.strict,
+    )
+    print(json.dumps({"added": report.added, "violations": report.violations, "published": report.published}))
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

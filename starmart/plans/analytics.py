@@ -18,7 +18,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.functions import label, year_month, elapsed_days, first_of_month, months_between_starts
+from starmart.functions import (
+    elapsed_days,
+    first_of_month,
+    label,
+    make_period,
+    months_between_starts,
+    year_month,
+)
 from starmart.functions import defaults as dv
 from starmart.plans.star import Star
 
@@ -285,3 +292,14 @@ def best_worst_month(star: Star, k: int = 10) -> DataFrame:
             "melhor_mes", "qtd_vendas_max", "pior_mes", "qtd_vendas_min",
         )
     )
+
+
+def with_period(df: DataFrame) -> DataFrame:
+    """Add ``periodo`` (first day of the month) when ``year`` and ``month`` exist.
+
+    Charts of the monthly reports plot against this date; frames without the
+    two columns are returned unchanged.
+    """
+    if {"year", "month"} <= set(df.columns):
+        return df.withColumn("periodo", make_period("year", "month"))
+    return df

@@ -78,7 +78,7 @@ class Warehouse:
         """DROP TABLE IF EXISTS; True when something was removed."""
         removed = delete_path(self.spark, self.path(table))
         for db in self.spark.catalog.listDatabases():
-            if self.spark.catalog.tableExists(table, db.name):
+            if self.spark.catalog.tableExists(f"`{db.name}`.`{table}`"):
                 self.spark.sql(f"DROP TABLE IF EXISTS `{db.name}`.`{table}`")
         return removed
 

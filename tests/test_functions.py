@@ -61,3 +61,20 @@ def test_label_and_sql_literals(spark):
     ).collect()
     assert tuple(rows[0]) == ("item: 7", "'O''Brian'", "'2020-01-02'", "True", "5.00")
     assert tuple(rows[1]) == ("item: 8", "NULL", "NULL", "NULL", "NULL")
+
+
+def test_timestamp_parsing_and_period(spark):
+    import pytest
+
+    from starmart.functions import parse_timestamp, try_parse_timestamp
+    from starmart.plans.analytics import with_period
+
+    df = spark.createDataFrame([("2017-10-02 10:56:33",), ("",)], "t string")
+    got = [r[0] for r in df.select(try_parse_timestamp("t")).collect()]
+    assert got == [dt.datetime(2017, 10, 2, 10, 56, 33), None]
+    assert df.limit(1).select(parse_timestamp("t")).first()[0] == dt.datetime(2017, 10, 2, 10, 56, 33)
+    with pytest.raises(Exception):
+        df.where("t = ''").select(parse_timestamp("t")).collect()
+    m = spark.createDataFrame([(2018, 3, 1.0)], "year int, month int, v double")
+    assert with_period(m).first().periodo == dt.date(2018, 3, 1)
+    assert "periodo" not in with_period(df).columns
