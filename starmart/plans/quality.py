@@ -11,7 +11,7 @@ refuse is counted here instead:
 
 Each check is an aggregate that reduces map-side before its shuffle (the
 duplicate check shuffles one partial count per key, the orphan check is an
-anti join), and the not-null checks of a table share one scan.
+anti join), and the not-null and width checks of a table share one scan.
 """
 
 from __future__ import annotations
@@ -43,15 +43,27 @@ def duplicates(df: DataFrame, table: str, keys: Sequence[str], rule: str = "prim
     return _row(counted, table, f"{rule} ({', '.join(keys)})", F.sum(F.col("n") - 1))
 
 
-def not_null(df: DataFrame, table: str, cols: Sequence[str]) -> DataFrame:
-    """One scan, one count per column, unpivoted into rows."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    pairs = ", ".join(f"'not null ({c})', `{c}`" for c in cols)
-    return counts.selectExpr(f"stack({len(cols)}, {pairs}) as (rule, violations)").select(
+def column_checks(
+    df: DataFrame, table: str, not_null_cols: Sequence[str] = (), limits: dict[str, int] | None = None
+) -> DataFrame:
+    """NOT NULL and text-width checks of one table in a single scan.
+
+    One aggregate with a conditional count per check, unpivoted into rows.
+    """
+    limits = limits or {}
+    checks = [(f"not null ({c})", F.col(c).isNull()) for c in not_null_cols]
+    checks += [(f"width ({c} <= {n})", F.length(c) > n) for c, n in limits.items()]
+    counts = df.agg(*[F.count_if(cond).alias(f"c{i}") for i, (_, cond) in enumerate(checks)])
+    pairs = ", ".join(f"'{rule}', `c{i}`" for i, (rule, _) in enumerate(checks))
+    return counts.selectExpr(f"stack({len(checks)}, {pairs}) as (rule, violations)").select(
         F.lit(table).alias("table_name"), "rule", F.col("violations").cast("bigint").alias("violations")
     )
 
 
+def not_null(df: DataFrame, table: str, cols: Sequence[str]) -> DataFrame:
+    return column_checks(df, table, cols)
+
+
 def orphans(child: DataFrame, parent: DataFrame, table: str, fk: str, parent_table: str, pk: str | None = None) -> DataFrame:
     pk = pk or fk
     keys = child.select(F.col(fk).alias("__k")).where(F.col("__k").isNotNull())
@@ -60,33 +72,23 @@ def orphans(child: DataFrame, parent: DataFrame, table: str, fk: str, parent_tab
 
 
 def too_wide(df: DataFrame, table: str, limits: dict[str, int]) -> DataFrame:
-    counts = df.agg(*[F.count_if(F.length(c) > n).alias(c) for c, n in limits.items()])
-    pairs = ", ".join(f"'width ({c} <= {n})', `{c}`" for c, n in limits.items())
-    return counts.selectExpr(f"stack({len(limits)}, {pairs}) as (rule, violations)").select(
-        F.lit(table).alias("table_name"), "rule", F.col("violations").cast("bigint").alias("violations")
-    )
+    return column_checks(df, table, (), limits)
 
 
 def audit_clean(tb: CleanTables) -> list[DataFrame]:
     L = schemas.VARCHAR_LIMITS
-    cust_limits = {c: n for c, n in L["customers"].items()}
-    sell_limits = {c: n for c, n in L["sellers"].items()}
     return [
         duplicates(tb.customers, "tb_customers", ["customer_id"]),
-        not_null(tb.customers, "tb_customers", ["customer_id", "customer_unique_id"]),
-        too_wide(tb.customers, "tb_customers", cust_limits),
+        column_checks(tb.customers, "tb_customers", ["customer_id", "customer_unique_id"], L["customers"]),
         duplicates(tb.sellers, "tb_sellers", ["seller_id"]),
-        not_null(tb.sellers, "tb_sellers", ["seller_id"]),
-        too_wide(tb.sellers, "tb_sellers", sell_limits),
+        column_checks(tb.sellers, "tb_sellers", ["seller_id"], L["sellers"]),
         duplicates(tb.products, "tb_products", ["product_id"]),
-        not_null(tb.products, "tb_products", ["product_id"]),
-        too_wide(tb.products, "tb_products", L["products"]),
+        column_checks(tb.products, "tb_products", ["product_id"], L["products"]),
         duplicates(tb.orders, "tb_orders", ["order_id"]),
-        not_null(tb.orders, "tb_orders", ["order_id"]),
-        too_wide(tb.orders, "tb_orders", L["orders"]),
+        column_checks(tb.orders, "tb_orders", ["order_id"], L["orders"]),
         orphans(tb.orders, tb.customers, "tb_orders", "customer_id", "tb_customers"),
         duplicates(tb.order_items, "tb_order_items", ["order_id", "order_item_id"]),
-        not_null(tb.order_items, "tb_order_items", ["order_id", "order_item_id"]),
+        column_checks(tb.order_items, "tb_order_items", ["order_id", "order_item_id"]),
         orphans(tb.order_items, tb.orders, "tb_order_items", "order_id", "tb_orders"),
         orphans(tb.order_items, tb.products, "tb_order_items", "product_id", "tb_products"),
         orphans(tb.order_items, tb.sellers, "tb_order_items", "seller_id", "tb_sellers"),
