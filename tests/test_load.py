@@ -154,3 +154,17 @@ def test_violation_blocks_publishing(spark, tmp_root):
     assert all(df.count() == 0 for df in wh.read_star_tables().values())
     report = run_load(spark, bad, tmp_root, load_date=LOAD_DATE, keep_intermediate=True)
     assert report.violations == 1 and report.published
+
+
+def test_key_orphans_range_check_and_fallback(spark):
+    from starmart.plans.quality import key_orphans, orphans
+
+    fact = spark.createDataFrame([(1,), (3,), (5,), (None,), (0,)], "k bigint")
+    dense = spark.createDataFrame([(1,), (2,), (3,), (4,)], "k bigint")
+    gappy = spark.createDataFrame([(1,), (2,), (4,), (5,)], "k bigint")
+    empty = spark.createDataFrame([], "k bigint")
+    for parent in (dense, gappy, empty):
+        fast = key_orphans(fact, parent, "f", "k", "d").first().violations
+        slow = orphans(fact, parent, "f", "k", "d").first().violations
+        assert fast == slow
+    assert key_orphans(fact, dense, "f", "k", "d").first().violations == 2  # 5 and 0
