@@ -8,7 +8,6 @@ partitions and splits skewed ones.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -71,7 +70,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path below the checkpoint root (never reused)."""
     return "/".join([checkpoint_root(spark), "starmart", *parts, uuid.uuid4().hex])
-
-
-def env_path(name: str, default: str) -> str:
-    return os.environ.get(name, default)
