@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
 
@@ -32,6 +34,8 @@ from pyspark.sql import functions as F
 
 REMEMBERED = 250_000
 _hash = xxhash.xxh64_intdigest
+#: Ids are packed as this machine's unsigned integers: little-endian ones.
+assert sys.byteorder == "little" and array("I").itemsize == 4
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -166,9 +170,10 @@ class Encoder:
     with the words around it.
     """
 
-    def __init__(self, pattern: str, encode, dtype: str = "<u4"):
+    def __init__(self, pattern: str, encode, code: str = "I"):
         self.find = regex.compile(pattern).findall
-        self.pretokens = Remembered(lambda token: np.array(encode(token), dtype).tobytes())
+        self.encode = lambda token: array(code, encode(token)).tobytes()
+        self.pretokens = Remembered(self.encode)
         self.words = Remembered(self._word)
 
     def _whole(self, text: str) -> bytes:
@@ -178,6 +183,8 @@ class Encoder:
         """Of a word and the space before it; nothing where the space isn't alone."""
         if not word or word[0].isspace() or word[-1].isspace():
             return b""
+        if word.isascii() and word.isalpha():  # one pre-token
+            return self.encode(" " + word)
         return self._whole(" " + word)
 
     def __call__(self, text: str) -> bytes:

@@ -154,15 +154,25 @@ def from_bytes(data: bytes) -> tuple[np.ndarray, np.ndarray, WaveletMatrix]:
     return doc_ids, lengths, WaveletMatrix(size, zeros, planes)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself where it prints, else the next from 256."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+
+
 def _library_encoder(path: str) -> Encoder:
+    """Pre-tokens go to the library's model: what ``Tokenizer.encode`` gives, without its bookkeeping of offsets."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    # The library encodes each pre-token; what it gave is remembered.
-    return Encoder(public_tokenizers.PATTERN, lambda token: t.encode(token, add_special_tokens=False).ids, "<u2")
+    tokenize, letters = Tokenizer.from_file(path).model.tokenize, _byte_letters()
+    return Encoder(
+        public_tokenizers.PATTERN,
+        lambda token: [t.id for t in tokenize(token.encode().decode("latin-1").translate(letters))],
+        "H",
+    )
 
 
 #: Of this worker process.
