@@ -105,6 +105,11 @@ def bucket_keys(fps: DataFrame, masks: list[int]) -> DataFrame:
     return fps.select("fp", F.explode(F.array(*entry)).alias("k")).select("k.j", "k.bits", "fp")
 
 
+def bits_apart(x: np.ndarray, y: np.ndarray | np.int64) -> np.ndarray:
+    """Of signed 64-bit numbers (bitwise_count alone would count those of the absolute value)."""
+    return np.bitwise_count((x ^ y).view(np.uint64))
+
+
 def forest(fps: np.ndarray, distance: int) -> tuple[list[int], list[int]]:
     """Links that connect what pairs within ``distance`` bits connect.
 
@@ -116,7 +121,7 @@ def forest(fps: np.ndarray, distance: int) -> tuple[list[int], list[int]]:
         front, left = [left[0]], left[1:]
         while front and left.size:
             c = front.pop()
-            near = np.bitwise_count(left ^ c) <= distance
+            near = bits_apart(left, c) <= distance
             if near.any():
                 new = left[near]
                 left = left[~near]
@@ -138,7 +143,7 @@ def bucket_links(distance: int, limit: int | None):
             if fp.size <= d:
                 break
             x, y = fp[:-d], fp[d:]
-            hit = (run[:-d] == run[d:]) & small[:-d] & (np.bitwise_count(x ^ y) <= distance)
+            hit = (run[:-d] == run[d:]) & small[:-d] & (bits_apart(x, y) <= distance)
             u.extend(x[hit].tolist())
             v.extend(y[hit].tolist())
         for k in np.flatnonzero(sizes > 4):

@@ -1,0 +1,128 @@
+"""Operators on pages, the secret scan, and the queries against their SQL."""
+
+import hashlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from starmart.llm import line_dedup, queries, secret_scan, warc
+
+SF = "/root/testdata/sf0.001"
+BODY = "<p>" + "x" * 1200 + "</p>"
+NAV = "<nav><li>Home</li><li>About</li></nav>"
+PAGES = [
+    *[(i, f"http://Site.example/{i}?a=1", f"{NAV}<p>own line {i}</p>", 1) for i in range(8)],
+    (8, "http://small.example/a", f"{NAV}<p>once</p>", 1),
+    (9, None, None, 1),
+    (10, "", "", 1),
+    (11, "http://copy.example/1", BODY, 1),
+    (12, "http://copy.example/2", BODY, 1),
+    (12, "http://copy.example/2", BODY, 1),
+    (None, "http://copy.example/3\r\nX: y", BODY, 1),
+    (13, "http://b.example", "short", 1),
+    (14, "http://b.example", "short", 1),
+    (15, "http://b.example", "WARC/1.0\r\n\r\n" * 200 + "é", 1),
+    (16, "no host", "<script>var a='<p>';</script><!-- <p>no</p> -->a<br>b<BR/>c  \t", 1),
+    (17, "http://long.example", "<p>" + "word " * 40_000 + "</p>", 1),
+]
+
+
+@pytest.fixture(scope="module")
+def pages(spark):
+    return spark.createDataFrame(PAGES, "page_id long, url string, html string, host int").repartition(3).cache()
+
+
+def test_line_dedup_drops_what_most_pages_of_a_host_share(pages):
+    found = {(r.page_id, r.host): r for r in line_dedup.drop_boilerplate(pages).collect()}
+    for i in range(8):
+        r = found[i, "site.example"]
+        assert (r.host_pages, r.n_lines, r.n_dropped, r.text) == (8, 3, 2, f"own line {i}")
+    assert found[8, "small.example"].text == "Home\nAbout\nonce"
+    assert found[9, ""].text == "" and found[9, ""].n_lines == 0
+    assert found[16, ""].text == "a\nb\nc"
+    assert sum(r.page_id == 12 for r in line_dedup.drop_boilerplate(pages).collect()) == 2
+    assert line_dedup.drop_boilerplate(pages.limit(0)).count() == 0
+
+
+def test_warc_records_read_back(spark, pages):
+    path = warc.write_archives(pages)
+    rows = warc.read_archives(spark, path, payloads=True).collect()
+    assert len(rows) == len(PAGES)
+    body = BODY.encode()
+    copies = [r for r in rows if r.payload_digest == hashlib.sha1(body).hexdigest()]
+    assert Counter((r.page_id, r.record_type, r.refers_to, len(r.payload)) for r in copies) == Counter(
+        [(12, "response", None, len(body)), (12, "revisit", 12, 0), (11, "revisit", 12, 0), (None, "revisit", 12, 0)]
+    )
+    assert {r.payload_bytes for r in copies} == {len(body)}
+    others = {r.page_id: r for r in rows if r not in copies}
+    assert all(r.record_type == "response" and r.refers_to is None for r in others.values())
+    for i, _, html, _ in PAGES:
+        if i in others:
+            assert bytes(others[i].payload) == (html or "").encode()
+    assert others[9].target_uri is None
+    assert warc.read_archives(spark, warc.write_archives(pages.limit(0))).count() == 0
+
+
+def test_warc_wrong_length_raises():
+    good = b"WARC/1.0\r\nContent-Length: 2\r\n\r\nab\r\n\r\n"
+    assert [p for _, p in warc.parse(good * 2)] == [b"ab", b"ab"]
+    with pytest.raises(ValueError):
+        list(warc.parse(good.replace(b": 2", b": 1")))
+
+
+@pytest.fixture(scope="module")
+def findings(spark):
+    rows, labels = [], []
+    plain = "the quick brown fox jumps over a lazy dog and runs home again "
+    for i in range(300):
+        key = hashlib.sha1(str(i).encode()).hexdigest()
+        if i % 3 == 0:
+            text, y = f'{plain * 2}api_key = "{key}" {plain}', 1
+        elif i % 3 == 1:
+            text, y = f"{plain * 2}commit {key} {plain}", 0
+        else:
+            text, y = f"{plain * 2}see brownfoxjumps{i}.example.com {plain}", 0
+        rows.append((i, text, "src/conf.yml" if i % 2 else "docs/readme.md"))
+        labels.append((i, y))
+    rows += [(300, None, None), (301, "", "x"), (0, rows[0][1], rows[0][2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    return docs, spark.createDataFrame(labels, "doc_id long, label int")
+
+
+def test_forest_on_held_out_findings(findings):
+    docs, labels = findings
+    words = secret_scan.dictionary(docs)
+    rows = secret_scan.features(secret_scan.candidates(docs), words, secret_scan.transition_table(words)).join(labels, "doc_id")
+    rows = rows.withColumn("label", F.col("label").cast("double")).cache()
+    model = secret_scan.train(rows.where("doc_id % 2 = 0"))
+    held = secret_scan.score(rows.where("doc_id % 2 = 1"), model)
+    right = held.where("is_secret = (label = 1)").count()
+    assert right / held.count() >= 0.95
+    assert rows.where("dictionary_share > 0.5").count() > 0 and rows.where("hex_only = 1").count() >= 200
+
+
+def test_scan_edges(findings, spark):
+    docs, labels = findings
+    out = secret_scan.scan(docs).collect()
+    assert Counter(r.doc_id for r in out)[0] == 2  # a repeated row repeats its finding
+    assert {r.doc_id % 3 for r in out if r.is_secret} == {0}
+    base = secret_scan.candidates(docs).select("doc_id", "word_no", "candidate").join(labels, "doc_id")
+    again = secret_scan.scan(docs, base).collect()
+    assert {r.doc_id for r in again if r.is_secret} == {r.doc_id for r in out if r.is_secret}
+    assert secret_scan.scan(docs.limit(0)).count() == 0
+    only = spark.createDataFrame([(1, "x abcdefgh12345678 y", None)], "doc_id long, text string, source string")
+    assert [(r.probability, r.is_secret) for r in secret_scan.scan(only).collect()] == [(0.0, False)]
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_is_its_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    df = queries.QUERIES[name](spark, SF)
+    cur = con.execute(queries.ORACLE_SQL[name])
+    at = [[d[0] for d in cur.description].index(c) for c in df.columns]
+    assert Counter(map(tuple, df.collect())) == Counter(tuple(r[i] for i in at) for r in cur.fetchall())
