@@ -8,6 +8,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def first_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per ``keys``: the first under ``order`` (ascending, NULLs first), which names all other columns.
+
+    An aggregate, so each map task sends one row for a key however many
+    copies it has read, and joins on part of the key can follow it.
+    """
+    first = F.min(F.struct(*order)).alias("__first")
+    picked = df.groupBy(*keys).agg(first)
+    return picked.select(*[F.col(c) if c in keys else F.col(f"__first.{c}").alias(c) for c in df.columns])
+
+
 def distinct_on(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None = None) -> DataFrame:
     """One row per ``keys``: the first under ``order`` (ascending, NULLs first).
 

@@ -2,44 +2,32 @@
 
 ``assign_surrogate_keys(df, order, "x_sk", start)`` numbers the rows
 ``start, start+1, …`` in the total order ``order`` — the same numbers as
-``start - 1 + row_number() OVER (ORDER BY order)`` — but never pulls all
-rows into a single partition:
-
-1. The rows are range-partitioned on the order key into ``P`` partitions
-   (``P`` from the row count: at most ``ROWS_PER_BUCKET`` rows each, and at
-   least one per task slot once there are enough rows). Spark's
-   range partitioner samples the key once per job and places every row by a
-   binary search over the sampled bounds, so ``P`` can be in the hundreds
-   of thousands. Partition ``i`` holds only keys below those of ``i + 1``.
-2. Each partition is sorted by the key; a row's position in its partition
-   is the low bits of ``monotonically_increasing_id`` (its high bits are the
-   partition index).
-3. (partition, position) is written once to the shared checkpoint folder.
-   Writing fixes the range bounds: the counts and the numbering below read
-   the same rows, whatever a later re-execution would have sampled. Within
-   that job, a retried task reads the same shuffle output and sorts it by a
-   unique key, so it reproduces the same positions.
-4. Rows per partition (P rows, a proven bound) → running offsets →
-   broadcast join; ``sk = start + offset + position``.
-
-Inputs of at most ``MIN_ROWS_PER_PARTITION`` rows skip all this: one task
-numbers them with a global ``row_number`` (bounded by that same limit).
+``start - 1 + row_number() OVER (ORDER BY order)`` — and takes one way at
+every size:
+
+1. The rows are range-partitioned on the order key into as many partitions
+   as the session shuffles into, and each partition is sorted.
+2. (partition, position) is written once to the shared checkpoint folder.
+   Writing fixes the sampled range bounds: the counts and the numbering below
+   read the same rows, whatever a later re-execution would have sampled. Within
+   that job, a retried task sorts the same rows by a unique key, so it
+   reproduces the same positions.
+3. The rows of each partition (one number for each shuffle partition, a bound
+   that the session sets and the data doesn't move) give running offsets;
+   ``sk = start + offset + position``.
 
 The order key must be unique (it is, for every caller: ids, or the item key).
+Calling it runs the job that writes the positions.
 """
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 2_000_000
-# Below this many rows per partition, more partitions only add overhead.
-MIN_ROWS_PER_PARTITION = 50_000
 _LOW_33_BITS = (1 << 33) - 1
 
 
@@ -52,61 +40,27 @@ def _write_back(df: DataFrame, name: str) -> DataFrame:
 
 
 def assign_surrogate_keys(
-    df: DataFrame,
-    order: Sequence[str],
-    sk_col: str,
-    start: int = 1,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    min_rows_per_partition: int = MIN_ROWS_PER_PARTITION,
+    df: DataFrame, order: Sequence[str], sk_col: str, start: int = 1, partitions: int | None = None
 ) -> DataFrame:
     """Add ``sk_col`` = start + (0-based rank of the row under ``order``)."""
-    order = list(order)
-    out_cols = [*df.columns, sk_col]
-    rows = df.count()
-    if rows == 0:
-        return df.withColumn(sk_col, F.lit(None).cast("long")).select(*out_cols)
-    if rows <= min_rows_per_partition:
-        # Small enough for one task by the same bound that sizes the range
-        # partitions below: a plain global row_number, nothing written.
-        rank = F.row_number().over(Window.orderBy(*[F.col(c).asc() for c in order]))
-        return df.withColumn(sk_col, (F.lit(start) - 1 + rank).cast("long")).select(*out_cols)
-    # Enough partitions to bound each one, and — for mid-sized inputs — at
-    # least one per task slot, so the numbered table is not a single file
-    # that every later scan would read in one task.
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    parts = max(
-        1,
-        math.ceil(rows / rows_per_bucket),
-        min(slots, math.ceil(rows / max(min_rows_per_partition, 1))),
-    )
-
+    spark = df.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     p, pos, off = "__sk_part", "__sk_pos", "__sk_offset"
-    placed = (
+    placed = _write_back(
         df.repartitionByRange(parts, *[F.col(c).asc() for c in order])
         .sortWithinPartitions(*order)
         .withColumn(p, F.spark_partition_id())
-        .withColumn(pos, F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_33_BITS)))
-    )
-    placed = _write_back(placed, sk_col)
-    # One row per partition: bounded by rows / ROWS_PER_BUCKET, so one task
-    # and a broadcast are both bounded regardless of the data volume.
-    offsets = (
-        placed.groupBy(p)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn(
-            off,
-            F.coalesce(
-                F.sum("__n").over(Window.orderBy(p).rowsBetween(Window.unboundedPreceding, -1)),
-                F.lit(0),
-            ),
-        )
-        .select(p, off)
-    )
-    return (
-        placed.join(F.broadcast(offsets), p)
-        .withColumn(sk_col, (F.lit(start) + F.col(off) + F.col(pos)).cast("long"))
-        .select(*out_cols)
+        .withColumn(pos, F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_33_BITS))),
+        sk_col,
     )
+    offsets, before = [], 0
+    for part, rows in sorted(tuple(r) for r in placed.groupBy(p).agg(F.count(F.lit(1))).collect()):
+        offsets.append((part, before))
+        before += rows
+    starts = spark.createDataFrame(offsets, f"{p} int, {off} long")
+    # At most one row for each shuffle partition.
+    numbered = placed.join(F.broadcast(starts), p)
+    return numbered.withColumn(sk_col, F.lit(start) + F.col(off) + F.col(pos)).select(*df.columns, sk_col)
 
 
 def next_key(existing: DataFrame, sk_col: str) -> int:

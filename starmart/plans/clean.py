@@ -3,7 +3,8 @@ children kept only when their parents exist.
 
 Every function is DataFrame → DataFrame. Key columns go through
 ``required``: a NULL primary key fails the job, as the constrained target
-table would. Duplicate keys keep the first row under a total order of the
+table would — after the parent joins, which drop a row that matches no parent
+whatever its own key is. Duplicate keys keep the first row under a total order of the
 other columns (the source picks an arbitrary one; this pick is repeatable).
 """
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from starmart import schemas
 from starmart.functions import clean_id, required
 from starmart.functions import defaults as dv
-from starmart.operators import distinct_on, present_in
+from starmart.operators import distinct_on, first_by_key, present_in
 
 
 def clean_customers(raw: DataFrame) -> DataFrame:
@@ -63,12 +64,13 @@ def clean_orders(raw: DataFrame, customers: DataFrame) -> DataFrame:
     The customer filter comes first and the dedup second, as in the source.
     """
     df = raw.select(
-        required(clean_id("order_id"), "tb_orders.order_id").alias("order_id"),
+        clean_id("order_id").alias("order_id"),
         clean_id("customer_id").alias("customer_id"),
         F.coalesce("order_status", F.lit(dv.DEFAULT_STATUS)).alias("order_status"),
         *ORDER_TS,
     )
     df = present_in(df, customers, ["customer_id"])
+    df = df.withColumn("order_id", required(F.col("order_id"), "tb_orders.order_id"))
     return distinct_on(df, ["order_id"])
 
 
@@ -78,16 +80,15 @@ ITEM_ORDER = ("product_id", "seller_id", "price", "freight_value", "shipping_lim
 def clean_order_items(raw: DataFrame, orders: DataFrame, products: DataFrame, sellers: DataFrame) -> DataFrame:
     """Items whose order, product and seller exist; one per (order, item no.).
 
-    Join order is chosen for the shuffle plan: products and sellers first
-    (small enough for the adaptive planner to broadcast when measured so),
-    orders last — its shuffle on ``order_id`` already clusters the rows for
-    the (order_id, order_item_id) dedup, which then needs no shuffle of its
-    own.
+    Products and sellers are looked up first: they decide which of two rows
+    of one key is left to choose. The orders depend on the key alone, so the
+    dedup goes before them, an aggregate that cuts a key's copies to one row
+    in each map task before anything is shuffled by order.
     """
     zero = F.lit(0).cast(schemas.MONEY)
     df = raw.select(
-        required(clean_id("order_id"), "tb_order_items.order_id").alias("order_id"),
-        required(F.col("order_item_id"), "tb_order_items.order_item_id").alias("order_item_id"),
+        clean_id("order_id").alias("order_id"),
+        "order_item_id",
         clean_id("product_id").alias("product_id"),
         clean_id("seller_id").alias("seller_id"),
         "shipping_limit_date",
@@ -96,5 +97,5 @@ def clean_order_items(raw: DataFrame, orders: DataFrame, products: DataFrame, se
     )
     df = present_in(df, products, ["product_id"])
     df = present_in(df, sellers, ["seller_id"])
-    df = present_in(df, orders, ["order_id"])
-    return distinct_on(df, ["order_id", "order_item_id"], ITEM_ORDER)
+    df = present_in(first_by_key(df, ["order_id", "order_item_id"], ITEM_ORDER), orders, ["order_id"])
+    return df.withColumn("order_item_id", required(F.col("order_item_id"), "tb_order_items.order_item_id"))

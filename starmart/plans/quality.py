@@ -25,9 +25,6 @@ from starmart import schemas
 from starmart.functions import defaults as dv
 from starmart.plans.star import CleanTables, Star
 
-AUDIT_SCHEMA = "table_name string, rule string, violations bigint"
-
-
 def _row(df: DataFrame, table: str, rule: str, value: Column) -> DataFrame:
     return df.agg(F.coalesce(value, F.lit(0)).cast("bigint").alias("violations")).select(
         F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "violations"
@@ -92,10 +89,6 @@ def key_orphans(child: DataFrame, parent: DataFrame, table: str, key: str, paren
     return _row(outside, table, f"foreign key ({key}) -> {parent_table}", F.count(F.lit(1)))
 
 
-def too_wide(df: DataFrame, table: str, limits: dict[str, int]) -> DataFrame:
-    return column_checks(df, table, (), limits)
-
-
 def audit_clean(tb: CleanTables) -> list[DataFrame]:
     L = schemas.VARCHAR_LIMITS
     return [

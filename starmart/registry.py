@@ -2,9 +2,11 @@
 
 Two kinds:
 
-* **load steps** (cleaning, dimension and fact loads) are planned lazily
-  from the raw test tables: the returned frame is the whole job, from the
-  Parquet scans of the inputs to the rows the step produces;
+* **load steps** (cleaning, dimension and fact loads) run from the raw test
+  tables: the clean layer is planned lazily; surrogate keys write their
+  positions to the checkpoint folder as a load does;
+* **increments** load two batches one after the other, an early partial
+  delivery and then everything, and return a table as it stands after both;
 * **warehouse queries** (audits and analytics) read a warehouse that the
   load job built from the same tables. It is built once per application and
   input folder, into the shared checkpoint folder (a written table, not an
@@ -17,6 +19,7 @@ import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starmart.load import run_load
 from starmart.plans import analytics, dims, quality
@@ -24,6 +27,7 @@ from starmart.plans.star import CleanTables, Star, build_star, clean_all
 from starmart.session import scratch_path
 from starmart.sinks import export
 from starmart.sinks.warehouse import Warehouse
+from starmart.sources.raw import RawSources
 from starmart.sources.testdata import load_testdata
 
 _lock = threading.Lock()
@@ -56,6 +60,36 @@ def _first_load(spark: SparkSession, sf_dir: str) -> Star:
     return added
 
 
+def _batches(raw: RawSources) -> tuple[RawSources, RawSources]:
+    """An early delivery that lacks members, late orders and later item numbers, and the whole of it."""
+    lacks = lambda df, key, digit: df.where(~F.col(key).endswith(digit))
+    early = RawSources(
+        orders=raw.orders.where(F.col("order_purchase_timestamp") < F.lit("1995-06-01").cast("timestamp_ntz")),
+        items=raw.items.where("order_item_id <= 3"),
+        customers=lacks(raw.customers, "customer_id", "7"),
+        products=lacks(raw.products, "product_id", "5"),
+        sellers=lacks(raw.sellers, "seller_id", "3"),
+    )
+    return early, raw
+
+
+def twice_loaded(spark: SparkSession, sf_dir: str) -> Star:
+    """The star after both batches (built on first use)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/") + "#increment")
+    with _lock:
+        root = _built.get(key)
+        if root is None or not Warehouse(spark, root).exists("fact_sales"):
+            root = scratch_path(spark, "warehouse")
+            for batch in _batches(load_testdata(spark, sf_dir)):
+                run_load(spark, batch, root, stage_inputs=False, audit=False)
+            _built[key] = root
+        return Warehouse(spark, root).read_star()
+
+
+def _after_both(fn) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf: fn(twice_loaded(spark, sf))
+
+
 def _raw(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf: getattr(load_testdata(spark, sf), name)
 
@@ -107,4 +141,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_dim_product": lambda spark, sf: dims.new_dim_product(_clean(spark, sf).products),
     "load_dim_seller": lambda spark, sf: dims.new_dim_seller(_clean(spark, sf).sellers),
     "load_fact_sales": lambda spark, sf: _first_load(spark, sf).fact_sales,
+    # a second load onto a first one
+    "increment_dim_date": _after_both(lambda star: star.dim_date),
+    "increment_dim_customer": _after_both(lambda star: star.dim_customer),
+    "increment_dim_product": _after_both(lambda star: star.dim_product),
+    "increment_dim_seller": _after_both(lambda star: star.dim_seller),
+    "increment_fact_sales": _after_both(lambda star: star.fact_sales),
+    "increment_cohort": _after_both(analytics.cohort_retention),
 }

@@ -54,14 +54,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or the directory already set
-    on the context). Only when neither is set — a local test session — a
-    directory of our own is chosen and registered.
+    on the context). A local session without either gets a temporary folder
+    of its own; on a cluster, whose executors would not share one, that is an
+    error.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = sc.getCheckpointDir()
     if not configured:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="starmart-ckpt-")
         sc.setCheckpointDir(configured)
     return configured.rstrip("/")

@@ -3,20 +3,22 @@
 * ``overwrite`` — rebuild a table (staging ``tmp_*`` and clean ``tb_*``).
 * ``ensure_star`` — create the star tables only where absent; existing data
   and structure are kept.
-* ``append`` — add rows to a star table (insert-only).
-* ``drop`` — remove a table if it exists.
+* ``append`` — add rows to a star table (insert-only): written aside, then
+  one rename of a folder into the table, so a load is in it whole or not.
+* ``drop`` — remove a table of this warehouse if it exists.
 * ``register`` — expose the tables in the session catalog under a database
   (default ``analytics``) and make it the current one, so unqualified names
   resolve there.
 
 The root must be storage every executor sees (HDFS, object store, a shared
-mount). Each write is one Spark job; its output becomes visible at job
-commit, so a failed job leaves no partial table behind and tasks lost with
-their executors are simply rerun.
+mount). Tasks lost with their executors are rerun within a write's job. A load
+that breaks off leaves a folder under ``_pending``, which no reader looks at.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -47,9 +49,10 @@ class Warehouse:
     STAGING_TABLES = ("tmp_orders", "tmp_items", "tmp_customers", "tmp_products", "tmp_sellers")
     SNAPSHOT = "orders_snapshot"
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, database: str = "analytics"):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.database = database
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -64,7 +67,13 @@ class Warehouse:
         return self.spark.read.schema(df.schema).parquet(self.path(table))
 
     def append(self, table: str, df: DataFrame) -> None:
-        df.write.mode("append").parquet(self.path(table))
+        name = f"load-{uuid.uuid4().hex}"
+        pending = f"{self.root}/_pending/{table}-{name}"
+        df.write.parquet(pending)
+        fs, source = _fs(self.spark, pending)
+        _, target = _fs(self.spark, f"{self.path(table)}/{name}")
+        if not fs.rename(source, target):
+            raise OSError(f"could not publish {pending}")
 
     def ensure_star(self) -> None:
         """CREATE TABLE IF NOT EXISTS for the five star tables."""
@@ -75,12 +84,34 @@ class Warehouse:
                 ).parquet(self.path(name))
 
     def drop(self, table: str) -> bool:
-        """DROP TABLE IF EXISTS; True when something was removed."""
-        removed = delete_path(self.spark, self.path(table))
-        for db in self.spark.catalog.listDatabases():
-            if self.spark.catalog.tableExists(f"`{db.name}`.`{table}`"):
-                self.spark.sql(f"DROP TABLE IF EXISTS `{db.name}`.`{table}`")
-        return removed
+        """Remove this warehouse's table; True when something was removed.
+
+        A catalog entry goes only if it is in the warehouse's database and
+        points at this table's folder: others may have a table of that name.
+        """
+        if self._registered_here(table):
+            self.spark.sql(f"DROP TABLE IF EXISTS `{self.database}`.`{table}`")
+        return delete_path(self.spark, self.path(table))
+
+    def _location(self, table: str) -> tuple[str, str] | None:
+        """(type, location) of ``database.table`` in the catalog."""
+        name = f"`{self.database}`.`{table}`"
+        if not self.spark.catalog.databaseExists(self.database) or not self.spark.catalog.tableExists(name):
+            return None
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+        said = {r["col_name"]: r["data_type"] for r in rows}
+        return said.get("Type", ""), said.get("Location", "")
+
+    def _registered_here(self, table: str) -> bool:
+        found = self._location(table)
+        return found is not None and self._same(found[1], self.path(table))
+
+    def _same(self, a: str, b: str) -> bool:
+        def whole(path: str) -> str:
+            fs, p = _fs(self.spark, path)
+            return fs.makeQualified(p).toString().rstrip("/")
+
+        return whole(a) == whole(b)
 
     def drop_intermediates(self) -> list[str]:
         """Remove the clean and staging layers; the star and snapshot stay."""
@@ -88,7 +119,7 @@ class Warehouse:
 
     # ---- reads -----------------------------------------------------------
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
-        reader = self.spark.read
+        reader = self.spark.read.option("recursiveFileLookup", "true")
         if schema is not None:
             reader = reader.schema(schema)
         return reader.parquet(self.path(table))
@@ -120,11 +151,19 @@ class Warehouse:
     # ---- catalog ---------------------------------------------------------
     def register(self, database: str = "analytics", use: bool = True) -> list[str]:
         """Expose every table as ``database.table`` (external, by location)."""
+        self.database = database
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
         names = self.tables()
         for name in names:
+            found = self._location(name)
+            if found and not self._same(found[1], self.path(name)):
+                if found[0] != "EXTERNAL":
+                    raise ValueError(f"{database}.{name} is a managed table of its own; it is left alone")
+                # Of another root: only the entry goes, the files stay.
+                self.spark.sql(f"DROP TABLE `{database}`.`{name}`")
             self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` USING parquet LOCATION '{self.path(name)}'"
+                f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` USING parquet "
+                f"OPTIONS (recursiveFileLookup 'true') LOCATION '{self.path(name)}'"
             )
             self.spark.sql(f"REFRESH TABLE `{database}`.`{name}`")
         if use:

@@ -11,7 +11,7 @@ def _expected(df, order, start):
 
 def test_many_buckets_equal_global_rank(spark):
     df = spark.range(0, 5000).select(F.concat(F.lit("k"), (F.col("id") * 7919 % 5000).cast("string")).alias("k"))
-    got = assign_surrogate_keys(df, ["k"], "sk", start=101, rows_per_bucket=300, min_rows_per_partition=0)
+    got = assign_surrogate_keys(df, ["k"], "sk", start=101, partitions=17)
     rows = got.collect()
     exp = _expected(df, ["k"], 101)
     assert len(rows) == 5000
@@ -23,8 +23,8 @@ def test_composite_key_and_repeatability(spark):
     df = spark.range(0, 3000).select(
         (F.col("id") % 97).cast("string").alias("a"), (F.col("id") % 31).cast("int").alias("b"), "id"
     ).dropDuplicates(["a", "b"])
-    first = assign_surrogate_keys(df, ["a", "b"], "sk", rows_per_bucket=100, min_rows_per_partition=0)
-    again = assign_surrogate_keys(df, ["a", "b"], "sk", rows_per_bucket=100, min_rows_per_partition=0)
+    first = assign_surrogate_keys(df, ["a", "b"], "sk", partitions=13)
+    again = assign_surrogate_keys(df, ["a", "b"], "sk", partitions=13)
     a = {(r.a, r.b): r.sk for r in first.collect()}
     b = {(r.a, r.b): r.sk for r in again.collect()}
     assert a == b
@@ -33,7 +33,7 @@ def test_composite_key_and_repeatability(spark):
     assert a == exp
 
 
-def test_small_input_takes_one_bounded_task(spark):
+def test_small_input_takes_the_same_way(spark):
     df = spark.range(0, 500).select(F.col("id").cast("string").alias("k"))
     got = assign_surrogate_keys(df, ["k"], "sk", start=7)
     assert {(r.k,): r.sk for r in got.collect()} == _expected(df, ["k"], 7)
@@ -48,18 +48,16 @@ def test_empty_input_and_next_key(spark):
 
 def test_rows_are_placed_by_range_not_one_task(spark):
     df = spark.range(0, 2000).select(F.col("id").cast("string").alias("k"))
-    out = assign_surrogate_keys(df, ["k"], "sk", rows_per_bucket=200, min_rows_per_partition=0)
+    out = assign_surrogate_keys(df, ["k"], "sk", partitions=10)
     parts = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
-    # the rows stay spread over ~10 range partitions; the only partition-less
-    # window runs over one row per partition (the offsets)
     assert len(parts) >= 5
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "__sk_part" in plan
+    assert "BroadcastHashJoin" in plan and "__sk_part" in plan and "Window" not in plan
 
 
 def test_many_partitions(spark):
     df = spark.range(0, 20000).select(F.concat(F.lit("O"), (F.col("id") * 7919 % 20000).cast("string")).alias("o"),
                                       (F.col("id") % 3).cast("int").alias("n"))
-    got = assign_surrogate_keys(df, ["o", "n"], "sk", rows_per_bucket=10, min_rows_per_partition=0)  # 2000 partitions
+    got = assign_surrogate_keys(df, ["o", "n"], "sk", partitions=2000)  # 2000 partitions
     exp = _expected(df, ["o", "n"], 1)
     assert {(r.o, r.n): r.sk for r in got.collect()} == exp
