@@ -5,7 +5,7 @@ Targets share a budget by weight. A source whose share is above its cap
 by weight among the others, until no share is above its cap. A target over a
 source's size is a number of whole repetitions of all its documents and a
 rest; the rest is a seeded sample: documents in the order of a hash of seed,
-id and text, up to the last one that ends within the rest.
+id and text, up to the end of a document that is nearest to the rest.
 
 Sampling doesn't sort a source: sums of ``2 ** BUCKET_BITS`` ranges of the hash find
 the range that holds the cut, and only that range is ordered. Decisions are
@@ -114,8 +114,11 @@ def plan(rows: DataFrame, weigh, share_percent: int, max_epochs: int) -> DataFra
     # Equal keys (repeated rows) stand or fall together: they are added up first.
     keys = inside.groupBy("__s", "before", "rest", "key").agg(F.sum("size").alias("size"))
     run = F.sum("size").over(Window.partitionBy("__s").orderBy("key"))
-    stop = keys.withColumn("run", F.col("before") + run).where("run > rest").groupBy("__s").agg(F.min("key").alias("cut"))
-    last = stage(stop)
+    over = keys.withColumn("run", F.col("before") + run).where("run > rest")
+    stop = over.groupBy("__s").agg(F.min(F.struct("key", "size", "run", "rest")).alias("x")).select("__s", "x.*")
+    # The key that the rest ends in is taken if its end is nearer to the rest than its start.
+    nearer = F.when(2 * F.col("run") - F.col("size") < 2 * F.col("rest"), 1).otherwise(0)
+    last = stage(stop.select("__s", (F.least("key", F.lit((1 << 63) - 2)) + nearer).alias("cut")))
     out = targets.join(last, F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s")
     # No cut where the rest is the whole source (its target is a multiple).
     return stage(out.select("source", "source_size", "weight", "target", "whole", "cut"))

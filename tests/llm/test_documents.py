@@ -231,7 +231,8 @@ def test_mix_targets_and_taken(request, table):
         assert r.taken <= 2 * r.size and r.taken == r.copies * r.size
         taken[r.source] += r.taken
         largest[r.source] = max(largest[r.source], r.size)
-    assert all(t - 2 * largest[s] - 1 <= taken[s] <= t + 1e-6 for s, t in wanted.items())
+    # Half of what falls on one hash, which repeated rows share: two rows of one text here.
+    assert all(abs(t - taken[s]) <= largest[s] + 1 for s, t in wanted.items())
     ids = Counter(r.doc_id for r in mixing.mixed_documents(df).collect())
     copies = Counter()
     for r in rows:
