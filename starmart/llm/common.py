@@ -91,12 +91,14 @@ def one_row_each(docs: DataFrame, verdicts: DataFrame, key: Sequence[str]) -> Da
 
     ``verdicts`` has each key of ``docs`` once (null-safe), with ``stays`` and
     ``n``, the number of rows that have it. Only the keys that go, and those
-    of repeated rows, are joined: the texts of all others needn't be looked up.
+    of repeated rows, are joined. Their number grows with the data, so the
+    joins are sort-merge joins at every size: the rows of ``docs`` cross the
+    network once, and nothing is broadcast.
     """
     verdicts = stage(verdicts.where("not stays or n > 1"))
 
     def side(which: str) -> DataFrame:
-        return verdicts.where(which).select(*[F.col(c).alias(f"__w_{c}") for c in key])
+        return verdicts.where(which).select(*[F.col(c).alias(f"__w_{c}") for c in key]).hint("merge")
 
     def joined(right: DataFrame, how: str) -> DataFrame:
         on = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__w_{c}")) for c in key])
