@@ -124,7 +124,7 @@ def _numbered(p: str, old: str | None, dim: str, sk: str, columns: str, source:
 def _star(p: str = "", old: str | None = None) -> str:
     """CTEs of the clean layer and the star after loading batch ``p`` onto the star of ``old``."""
     days = f"""(
-    SELECT CAST(lo + i AS DATE) AS full_date
+    SELECT lo + CAST(i AS INTEGER) AS full_date
     FROM (SELECT CAST(min(order_purchase_timestamp) AS DATE) AS lo, CAST(max(order_purchase_timestamp) AS DATE) AS hi
           FROM {p}tb_orders), LATERAL (SELECT unnest(range(0, CAST(hi - lo AS BIGINT) + 1)) AS i))"""
     parts = """full_date, CAST(date_part('year', full_date) AS INTEGER) AS year,
