@@ -283,7 +283,7 @@ QUALIFY row_number() OVER (ORDER BY n DESC, product_sk) <= 10
     "monthly_average_ticket": """
 SELECT strftime(order_purchase_timestamp, '%Y-%m') AS order_month, count(*) AS total_orders,
        CAST(sum(spent) AS DECIMAL(38,2)) AS total_revenue,
-       CAST(round(CAST(sum(spent) AS DECIMAL(18,2)) * 1.0000000000::DECIMAL(11,10) / count(*), 2) AS DECIMAL(38,2)) AS average_ticket
+       CAST(round(round(CAST(sum(spent) AS DOUBLE) * 100) / count(*)) / 100 AS DECIMAL(38,2)) AS average_ticket
 FROM (SELECT order_id, sum(revenue) AS spent FROM sale GROUP BY ALL) NATURAL JOIN df_orders
 GROUP BY 1
 """,
@@ -312,10 +312,10 @@ GROUP BY ALL
 SELECT concat('item: ', product_sk) AS produto,
        list_sort(list((-n, ym)))[1][2] AS melhor_mes, max(n) AS qtd_vendas_max,
        list_sort(list((n, ym)))[1][2] AS pior_mes, min(n) AS qtd_vendas_min
-FROM (SELECT product_sk, product_id, ym, count(*) AS n, sum(count(*)) OVER (PARTITION BY product_sk) AS total
-      FROM sale NATURAL JOIN dim_product GROUP BY ALL)
-GROUP BY product_sk, product_id, total
-QUALIFY row_number() OVER (ORDER BY total DESC, product_id) <= 10
+FROM (SELECT product_sk, ym, count(*) AS n FROM sale GROUP BY ALL)
+NATURAL JOIN (SELECT product_sk, product_id FROM dim_product)
+GROUP BY product_sk, product_id
+QUALIFY row_number() OVER (ORDER BY sum(n) DESC, product_id) <= 10
 """,
     "validate_counts": """
 SELECT unnest(['1. OLTP: Pedidos (tb_orders)', '2. OLTP: Itens de Pedido (tb_order_items)', '3. DW: Fato Vendas (fact_sales)'])
