@@ -29,5 +29,5 @@ def test_distinct_on_keeps_smallest_row_per_key(spark, data):
 def test_surrogate_keys_equal_sorted_position(spark, keys, start):
     data = sorted(keys)
     df = spark.createDataFrame(list(keys), "s string, n int")
-    got = assign_surrogate_keys(df, ["s", "n"], "sk", start=start, rows_per_bucket=7, min_rows_per_partition=0)
+    got = assign_surrogate_keys(df, ["s", "n"], "sk", start=start)
     assert {(r.s, r.n): r.sk for r in got.collect()} == {k: start + i for i, k in enumerate(data)}
