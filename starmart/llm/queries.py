@@ -89,7 +89,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    folder, manifest = wavelet.write_shards(_documents(spark, sf_dir), path, end_id=0)
+    folder, manifest = wavelet.write_shards(_documents(spark, sf_dir), path, end_id=0, added_tokens=True)
     return wavelet.read_shards(spark, folder, manifest)
 
 

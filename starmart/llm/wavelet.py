@@ -17,6 +17,9 @@ end id, so an empty one has that alone; null ids come first; documents of one
 id are ordered by the crc of their ids; an empty table gives no file and an
 empty result; columns other than the two named are not read. Documents are in
 ascending id order over the files in name order. Ids are under ``2 ** 16``.
+With ``added_tokens``, strings of the tokenizer's added tokens (as
+``<|endoftext|>``) get their ids, as ``Tokenizer.encode`` does; without, they
+are ordinary text.
 """
 
 from __future__ import annotations
@@ -25,7 +28,8 @@ import os
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -161,32 +165,47 @@ def _byte_letters() -> dict[int, str]:
     return {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
 
 
-def _library_encoder(path: str) -> Encoder:
-    """Pre-tokens go to the library's model: what ``Tokenizer.encode`` gives, without its bookkeeping of offsets."""
+def _library_encoder(path: str, added_tokens: bool) -> Callable[[str], bytes]:
+    """Pre-tokens go to the library's model, without the bookkeeping of offsets of ``Tokenizer.encode``.
+
+    With ``added_tokens``, a text that holds the string of one goes to
+    ``Tokenizer.encode`` whole.
+    """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    tokenize, letters = Tokenizer.from_file(path).model.tokenize, _byte_letters()
-    return Encoder(
+    library = Tokenizer.from_file(path)
+    tokenize, letters = library.model.tokenize, _byte_letters()
+    plain = Encoder(
         public_tokenizers.PATTERN,
         lambda token: [t.id for t in tokenize(token.encode().decode("latin-1").translate(letters))],
         "H",
     )
+    added = [t.content for t in library.get_added_tokens_decoder().values()] if added_tokens else []
+
+    def encode(text: str) -> bytes:
+        if any(a in text for a in added):
+            return array("H", library.encode(text, add_special_tokens=False).ids).tobytes()
+        return plain(text)
+
+    return encode if added else plain
 
 
 #: Of this worker process.
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Callable[[str], bytes]] = {}
 
 
-def encoded(docs: DataFrame, path: str, bounds: list[int], end_id: int, id_col: str, text_col: str) -> DataFrame:
+def encoded(
+    docs: DataFrame, path: str, bounds: list[int], end_id: int, id_col: str, text_col: str, added_tokens: bool = False
+) -> DataFrame:
     """``(shard, doc_id, crc, ids)``: ids with the end id, little-endian unsigned 16 bit."""
     cuts, end = np.array(bounds, np.int64), struct.pack("<H", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _ENCODERS:
-            _ENCODERS[path] = _library_encoder(path)
-        encode = _ENCODERS[path]
+        if (path, added_tokens) not in _ENCODERS:
+            _ENCODERS[path, added_tokens] = _library_encoder(path, added_tokens)
+        encode = _ENCODERS[path, added_tokens]
         for batch in batches:
             ids = [
                 (encode(t.as_buffer().to_pybytes().decode("utf-8", "replace")) if t.is_valid else b"") + end
@@ -264,6 +283,7 @@ def write_shards(
     id_col: str = "doc_id",
     text_col: str = "text",
     tokens_per_file: int = TOKENS_PER_FILE,
+    added_tokens: bool = False,
 ) -> tuple[str, DataFrame]:
     """Writes the files to a fresh shared folder: ``(folder, manifest)``.
 
@@ -275,7 +295,7 @@ def write_shards(
     n = shuffle_partitions(spark)
     known = docs.select(F.col(id_col).cast("long").alias("k"))
     cuts = known.agg(F.percentile_approx("k", [i / n for i in range(1, n)], 100 * n)).first()[0] if n > 1 else []
-    rows = encoded(docs, path, sorted(set(cuts or [])), end_id, id_col, text_col)
+    rows = encoded(docs, path, sorted(set(cuts or [])), end_id, id_col, text_col, added_tokens)
     folder = shared_folder(spark)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hadoop)

@@ -263,6 +263,23 @@ def test_wavelet_files_are_the_library(request, spark, table):
     assert bag(wavelet.read_shards(spark, folder, manifest).collect()) == bag(wanted)
 
 
+def test_wavelet_query_knows_added_tokens(spark, tmp_path):
+    import zlib
+
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(LIBRARY)
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x<|endoftext|>\n y <|endoftext", "no marker  here", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert lib.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    wanted, at = [], 0
+    for d, t in enumerate(texts):
+        ids = np.array(lib.encode(t or "", add_special_tokens=False).ids + [0], "<u4")
+        wanted.append((d, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    assert bag(queries.op9_wavelet(spark, str(tmp_path)).collect()) == bag(wanted)
+
+
 def test_wavelet_access_count_and_occurrence():
     r = np.random.default_rng(2)
     for ids in (r.integers(0, 50257, 3000), r.integers(0, 5, 2000), np.zeros(9, int), np.zeros(0, int)):
