@@ -10,11 +10,15 @@ A candidate is a run of at least ``MIN_LENGTH`` characters of
 * dictionary coverage: the share of its letters in runs that are words of the
   corpus (seen ``MIN_SEEN`` times or more);
 * its path: depth, and whether it looks like tests, documentation or settings;
-* the neighbouring words: three before and one after.
+* the neighbouring words: three before and one after;
+* its value, what stands after the ``=`` in ``name=value``: whether it has the
+  format of a known issuer, and whether a word of it is a placeholder.
 
 The forest (Spark ML) is trained from labelled findings. ``weak_labels`` gives
-labels where no reviewed findings are at hand: an assignment to a credential's
-name of a value without structure is a finding, all else is a false positive.
+labels where no reviewed findings are at hand, by a rule: a value of a known
+format, or one without structure that is assigned to a credential's name or
+follows ``Bearer``, is a finding unless a word of the value is a placeholder;
+all else is a false positive. The forest then mostly restates that rule.
 Training takes at most ``MAX_TRAINING`` findings, those with the smallest hash, half
 of each label; everything else covers all data.
 DataFrame functions and Spark ML only.
@@ -46,7 +50,7 @@ CANDIDATE = r"[A-Za-z0-9_+/=.\-]{%d,}" % MIN_LENGTH
 _SPACE = r"[\x20\x09-\x0D]+"
 _LETTERS = r"\p{L}{2,30}"
 CREDENTIAL = r"token|secret|passw|pwd|api.?key|auth|bearer|credential|private.?key|access.?key"
-PLACEHOLDER = r"example|sample|dummy|test|placeholder|changeme|your|xxxx"
+PLACEHOLDER = r"example|sample|dummy|test|placeholder|changeme|your|xxxx+"
 FEATURES = (
     "length",
     "transition_logp",
@@ -61,7 +65,17 @@ FEATURES = (
     "quoted",
     "placeholder_near",
     "hex_only",
+    "placeholder_value",
+    "known_format",
 )
+#: Tokens that tell their issuer: AWS, GitHub, GitLab, Slack, Stripe, Google, npm, PyPI, Hugging Face, SendGrid, JWT.
+KNOWN = (
+    r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{36}|github_pat_[A-Za-z0-9_]{22}"
+    r"|glpat-[A-Za-z0-9_-]{20}|xox[abeoprs]-[A-Za-z0-9-]{10}|[rs]k_live_[A-Za-z0-9]{16}|AIza[A-Za-z0-9_-]{35}"
+    r"|npm_[A-Za-z0-9]{36}|pypi-[A-Za-z0-9_-]{16}|hf_[A-Za-z0-9]{30}|SG\.[A-Za-z0-9_-]{22}\.[A-Za-z0-9_-]{43}"
+    r"|eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.)"
+)
+_NAME = "^(.*=)(?=[^=])"  # of ``name=value`` in one run; what pads a value is no name's
 #: Of the transition table: a to z, digits, the rest.
 _SYMBOLS = "abcdefghijklmnopqrstuvwxyz0-"
 
@@ -116,6 +130,15 @@ def transition_table(words: DataFrame) -> list[float]:
     return table
 
 
+def _name(candidate: Column) -> Column:
+    """``name=`` of a candidate ``name=value``, else nothing."""
+    return F.regexp_extract(candidate, _NAME, 1)
+
+
+def _value(candidate: Column) -> Column:
+    return F.regexp_replace(candidate, _NAME, "")
+
+
 def features(found: DataFrame, words: DataFrame, table: list[float]) -> DataFrame:
     """Adds the columns of ``FEATURES`` to ``candidates``."""
     key = ["doc_id", "path", "word_no", "candidate", "before", "word", "after"]
@@ -147,7 +170,9 @@ def features(found: DataFrame, words: DataFrame, table: list[float]) -> DataFram
     near = F.concat_ws(" ", "before", F.lower("word"), "after")
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "[A-Za-z]+", "a"), "[0-9]+", "0"), "[^a0]+", "-")
     flag = lambda cond: F.when(cond, 1.0).otherwise(0.0)
-    lead = F.expr("substring_index(word, candidate, 1)")
+    lead = F.concat(F.expr("substring_index(word, candidate, 1)"), _name(c))
+    # Words of letters: cut at other characters and where lower case turns to upper.
+    value_words = F.lower(F.regexp_replace(_value(c), "([a-z])([A-Z])", "$1 $2"))
     rows = rows.withColumn("__symbols", _symbols(c)).withColumn("__numbers", numbers)
     return rows.withColumns(
         {
@@ -160,18 +185,27 @@ def features(found: DataFrame, words: DataFrame, table: list[float]) -> DataFram
             "path_docs": flag(path.rlike("test|example|doc|sample|fixture|mock")),
             "path_settings": flag(path.rlike(r"\.(env|ya?ml|json|ini|cfg|conf|pem|toml|properties)$")),
             "credential_before": flag(F.concat_ws(" ", "before", F.lower(lead)).rlike(CREDENTIAL)),
-            "assigned": flag(F.col("before").rlike("[=:]$") | lead.rlike("[=:][\"']?$")),
+            "assigned": flag(F.col("before").rlike("(?:[=:]|\\bbearer)$") | lead.rlike("[=:][\"']?$")),
             "quoted": flag(lead.rlike("[\"'`]$")),
             "placeholder_near": flag(near.rlike(PLACEHOLDER)),
             "hex_only": flag(c.rlike("^[0-9A-Fa-f]+$")),
+            "placeholder_value": flag(value_words.rlike(f"(?<![a-z])(?:{PLACEHOLDER})(?![a-z])")),
+            "known_format": flag(c.rlike(KNOWN)),
         }
     ).drop("__symbols", "__numbers", "covered")
 
 
 def weak_labels(rows: DataFrame) -> DataFrame:
-    """Adds ``label``: 1 for a value without structure assigned to a credential's name, else 0."""
-    dense = F.col("candidate").rlike("^[A-Za-z0-9_+/=-]{20,}$") & (F.col("digit_share") > 0.1)
-    good = (F.col("credential_before") == 1) & (F.col("assigned") == 1) & (F.col("placeholder_near") == 0) & dense
+    """Adds ``label``: 1 for a known format, or a value without structure after a credential's name, else 0.
+
+    A value with dots is without structure if less than half of its letters
+    are words of the corpus, which tells it from names of hosts and files.
+    """
+    value = _value(F.col("candidate"))
+    digits = F.length(F.regexp_replace(value, "[^0-9]", "")) / F.length(value)
+    dense = (F.length(value) >= MIN_LENGTH) & (digits > 0.1) & (~value.contains(".") | (F.col("dictionary_share") < 0.5))
+    named = (F.col("credential_before") == 1) & (F.col("assigned") == 1) & dense
+    good = (F.col("placeholder_value") == 0) & ((F.col("known_format") == 1) | named)
     return rows.withColumn("label", F.when(good, 1.0).otherwise(0.0))
 
 
