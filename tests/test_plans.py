@@ -62,6 +62,12 @@ def test_cube_shuffles_the_sales_once(star):
     assert "Expand" not in p
 
 
+def test_cube_sums_sales_before_it_moves_them(star):
+    lines = plan(analytics.sales_cube(star, sort=False)).split("\n")
+    below = [lines[i + 1] for i, x in enumerate(lines) if "REPARTITION_BY_COL" in x]
+    assert below and all("HashAggregate" in x for x in below)
+
+
 def test_reports_aggregate_the_fact_before_joining_dimensions(star):
     p = plan(analytics.monthly_revenue(star))
     # the fact scan feeds an aggregate by date_sk before any join
