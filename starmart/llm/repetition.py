@@ -189,8 +189,8 @@ COLUMNS = (
 )
 
 
-def measure(texts: pa.Array) -> dict[str, np.ndarray]:
-    """The columns of ``COLUMNS`` for an Arrow array of texts (binary)."""
+def measure(texts: pa.Array, repeat_words: int = Limits.repeat_words) -> dict[str, np.ndarray]:
+    """The columns of ``COLUMNS`` for an Arrow array of texts (binary); passages of ``repeat_words`` or more are covered."""
     out = {c: np.zeros(len(texts), np.int64) for c in COLUMNS}
     numbers, parts, sizes, first = _Numbers(), [], [], 0
 
@@ -199,7 +199,7 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
         size = np.array(sizes, np.int64)
         shared = longest_shared(words, size)
         out["n_repeat_words"][first:upto] = window_words(shared, size)
-        out["n_covered_words"][first:upto] = covered(shared, size, Limits.repeat_words)
+        out["n_covered_words"][first:upto] = covered(shared, size, repeat_words)
         if shared.size:
             some = size > 0
             ends = np.cumsum(size)
@@ -246,7 +246,7 @@ def repetition_rules(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = measure(batch.column(1))
+            found = measure(batch.column(1), limits.repeat_words)
             base, kept = verdict(found, limits)
             cols = [batch.column(0), *[pa.array(found[c]) for c in COLUMNS], pa.array(base), pa.array(kept)]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", *COLUMNS, "base_failed", "kept"])
@@ -262,7 +262,7 @@ def keep_clean(docs: DataFrame, limits: Limits = Limits(), text_col: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, kept = verdict(measure(batch.column(at).cast(pa.binary())), limits)
+            _, kept = verdict(measure(batch.column(at).cast(pa.binary()), limits.repeat_words), limits)
             yield batch.filter(pa.array(kept))
 
     return docs.mapInArrow(run, docs.schema)

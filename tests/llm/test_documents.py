@@ -184,6 +184,17 @@ def test_repetition_rules_keep_clean_and_reject_repeats(spark):
     assert [r.doc_id for r in repetition.keep_clean(df).collect()] == [1]
 
 
+def test_repetition_covers_what_the_limits_say(spark):
+    passage = "six words that come back again"
+    text = f"{passage} {' '.join(f'w{i}' for i in range(80))} {passage}"
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    for least, covered in ((5, 12), (6, 12), (7, 0)):
+        limits = repetition.Limits(repeat_words=least, max_covered_percent=10)
+        row = repetition.repetition_rules(df, limits).first()
+        assert row.n_covered_words == covered == brute.repetition(text, least)[5]
+        assert row.kept == (covered == 0) == (repetition.keep_clean(df, limits).count() == 1)
+
+
 @pytest.mark.parametrize("table", ["edge", "given"])
 def test_hilbert_shards(request, table):
     df = request.getfixturevalue(table)
