@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import ranked
+from starmart.llm.common import ranked, stage
 
 BITS = 6
 
@@ -64,6 +64,15 @@ def text_key(name: str) -> Column:
     return F.conv(F.rpad(F.hex(head), 14, "0"), 16, 10).cast("long")
 
 
+def with_text_rank(df: DataFrame, name: str, rank: str) -> DataFrame:
+    """Add ``rank``: the place of the string among the column's distinct ones, by all its bytes; null for null."""
+    value = F.col(name).cast("string").alias("__value")
+    distinct = stage(df.select(value).where(F.col("__value").isNotNull()).distinct())
+    places = stage(ranked(distinct, [F.col("__value")], rank))
+    # Few distinct strings are broadcast by their size on disk; many are shuffled, a hot one split by AQE.
+    return df.join(places, F.col(name).cast("string") == F.col("__value"), "left").drop("__value")
+
+
 def with_curve_index(df: DataFrame, dims: Sequence[Column], bits: int = BITS) -> DataFrame:
     """Add ``hilbert``. ``dims``: numbers. ``2 ** bits - 1`` quantiles of each are collected."""
     if len(dims) * bits > 62:

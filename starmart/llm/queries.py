@@ -68,7 +68,8 @@ def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.octet_length(text_of()) + 1).cast("long").alias("size"),
         F.crc32(text_of().cast("binary")).alias("text_crc32"),
     )
-    dims = [hilbert.text_key("source"), hilbert.text_key("lang"), F.col("size"), F.col("doc_id")]
+    docs = hilbert.with_text_rank(hilbert.with_text_rank(docs, "source", "source_rank"), "lang", "lang_rank")
+    dims = [F.col("source_rank"), F.col("lang_rank"), F.col("size"), F.col("doc_id")]
     placed = hilbert.shard_rows(docs, dims, SHARDS, then=[F.col("text_crc32"), F.col("doc_id")])
     return placed.select(
         "doc_id",

@@ -208,6 +208,19 @@ def test_hilbert_shards(request, table):
     assert order == sorted(order)
 
 
+def test_hilbert_tells_sources_of_one_beginning(spark, tmp_path):
+    rows = [(i, "same text", "en", f"common_crawl_{2000 + i % 16}", 9) for i in range(320)] + [(400, "x", None, None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    ranks = {r.source: r.k for r in hilbert.with_text_rank(docs, "source", "k").collect()}
+    assert ranks == {None: None, **{f"common_crawl_{2000 + i}": i for i in range(16)}}
+    out = queries.op7_hilbert_shards(spark, str(tmp_path)).join(docs.select("doc_id", "source"), "doc_id")
+    assert out.count() == len(rows)
+    ranges = hilbert.manifest(out, ["source"])
+    wanted = hilbert.matching(ranges, source=("common_crawl_2000", "common_crawl_2000")).count()
+    assert wanted < ranges.count() == 16
+
+
 def test_hilbert_curve_steps_to_neighbours():
     for dims, bits in ((2, 3), (3, 2), (4, 2)):
         grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims, indexing="ij"), -1).reshape(-1, dims)
