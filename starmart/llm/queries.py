@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm import (
+    block_search,
     bpe,
     exact_dedup,
+    fim,
     hilbert,
     line_dedup,
     mixing,
@@ -21,16 +23,24 @@ from starmart.llm import (
     simhash,
     warc,
     wavelet,
+    whitening,
 )
 from starmart.llm.common import text_of
 
 SHARDS = 16
+LAYOUT = fim.Layout("<P>", "<S>", "<M>", plain_percent=10, spm_percent=20, salt="1")
+NEAREST = 20
+ASKED_EVERY = 20
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
@@ -98,6 +108,20 @@ def op10_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_rules(_documents(spark, sf_dir))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.transform(_documents(spark, sf_dir), LAYOUT), LAYOUT)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(_embeddings(spark, sf_dir), components=4, scale=256)
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = F.col("vec_id") % ASKED_EVERY == 0
+    return block_search.nearest(_embeddings(spark, sf_dir), asked, NEAREST)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -117,6 +141,9 @@ QUERIES = {
         op8_mixing,
         op9_wavelet,
         op10_suffix_repetition,
+        op11_fill_in_middle,
+        op12_whitening,
+        op13_block_search,
         pipeline,
     )
 }
@@ -165,5 +192,40 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        sha256(coalesce(text, '')) AS text_sha256
 FROM documents
 WINDOW w AS (PARTITION BY coalesce(text, ''))
+""",
+    "op11_fill_in_middle": """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+h AS (
+  SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n,
+         CAST('0x' || substr(x, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(x, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(x, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(x, 25, 8) AS BIGINT) AS h4
+  FROM d),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90
+              THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM h),
+p AS (
+  SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+""",
+    "op13_block_search": """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON c.r <> q.r WHERE q.vec_id % 20 = 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS place FROM p)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM o WHERE place <= 20
 """,
 }

@@ -1,0 +1,182 @@
+"""Whitening and block search against brute force."""
+
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from starmart.llm import block_search as search
+from starmart.llm import queries, whitening
+from tests.llm.conftest import CLASHES
+
+SCHEMA = "vec_id long, embedding array<double>, " + ", ".join(
+    f"{c} string" for c in (*CLASHES, "vector", "x", "row", "n", "i", "rank", "score", "block", "pair", "side")
+    if c not in ("n",)
+) + ", n string"
+EXTRA = len(SCHEMA.split(",")) - 2
+BAD = [(5000, None), (5001, []), (5002, [None] * 8), (5003, [float("nan")] * 8), (5004, [1.0]), (5005, [float("inf")] * 8)]
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    """Copies in hundreds, near copies, zeros, null and shared ids, repeated rows, and rows that take no part."""
+    r = np.random.default_rng(0)
+    base = r.normal(size=(1, 8))
+    x = np.vstack(
+        [np.repeat(base, 400, 0), r.normal(size=(300, 8)), np.zeros((3, 8)), -base, np.repeat(base * 1.0000001, 30, 0)]
+    )
+    rows = [(i if i % 97 else None, [float(e) for e in v]) for i, v in enumerate(x)]
+    rows += [(20, [1.0] * 8), (20, [1.0] * 8), (-40, [0.5] * 8), *BAD]
+    return rows, spark.createDataFrame([(*r, *["x"] * EXTRA) for r in rows], SCHEMA).repartition(5)
+
+
+def whole(rows, dim=8):
+    return [(i, v) for i, v in rows if v and len(v) == dim and all(e is not None and np.isfinite(e) for e in v)]
+
+
+def brute_white(rows, k=4):
+    rows = whole(rows, len(max((v for _, v in rows if v), key=len)))
+    xs = [tuple(int(np.floor(256 * np.float64(e))) for e in v) for _, v in rows]
+    listed = sorted(set(xs))
+    n, d = len(listed), len(xs[0])
+    s = [sum(c) for c in zip(*listed)]
+    c = [[Fraction(n * a - b, n) for a, b in zip(v, s)] for v in listed]
+    v = np.array([[float(sum(r[i] * r[j] for r in c) / n) for j in range(d)] for i in range(d)])
+    e, u = np.linalg.eigh(v)
+    e, u = e[::-1][:k], u[:, ::-1][:, :k]
+    w = np.array([[(n * a - b) / n for a, b in zip(x, s)] for x in xs]) @ u / np.sqrt(e)
+    return n, [sum((n * a - b) ** 2 for a, b in zip(x, s)) for x in xs], w, e / np.trace(v), rows
+
+
+def compare(out, rows):
+    n, deviation, w, explained, taken = brute_white(rows)
+    assert len(out) == 4 * len(taken)
+    assert {r.n for r in out} == {n}
+    assert max(r.identity_error for r in out) < 1e-10
+    got = sorted((r.vec_id is None, r.vec_id or 0, int(r.deviation), r.component, round(abs(r.whitened), 9)) for r in out)
+    expected = sorted(
+        (i is None, i or 0, dev, c + 1, round(abs(x[c]), 9)) for (i, _), dev, x in zip(taken, deviation, w) for c in range(4)
+    )
+    assert [g[:4] for g in got] == [e[:4] for e in expected]
+    assert np.allclose([g[4] for g in got], [e[4] for e in expected], atol=1e-8)
+    for c in range(4):
+        assert {round(r.explained, 12) for r in out if r.component == c + 1} == {round(explained[c], 12)}
+
+
+def test_whitening_is_brute_force_on_edge_rows(vectors):
+    rows, df = vectors
+    compare(whitening.whiten(df).collect(), rows)
+
+
+def test_whitening_query_is_brute_force(spark):
+    folder = "/root/testdata/sf0.001"
+    df = spark.read.parquet(f"{folder}/embeddings.parquet")
+    out = queries.op12_whitening(spark, folder)
+    assert dict(out.dtypes)["deviation"] == "bigint"
+    compare(out.collect(), [(r.vec_id, r.embedding) for r in df.collect()])
+
+
+def test_signs_are_one_for_all_rows_and_the_data_is_white(vectors):
+    rows, df = vectors
+    out = whitening.whiten(df).collect()
+    fitted = {}
+    for r in out:  # one value for each distinct vector and component
+        fitted.setdefault(r.component, {}).setdefault((r.vec_id, int(r.deviation)), r.whitened)
+    listed, dim = whitening.quantised(df, "vec_id", "embedding", 256)
+    listed = listed.select("x").distinct()
+    found = whitening.fit(listed, dim)
+    w = np.array([found.whiten(found.centred(np.array(r.x)[None]))[0] for r in listed.collect()])
+    assert np.abs(np.cov(w.T, bias=True) - np.eye(4)).max() < 1e-10
+    assert max(r.identity_error for r in out) == pytest.approx(found.identity_error, abs=1e-12)
+
+
+def test_square_sums_are_exact_beyond_64_bits():
+    t = np.random.default_rng(1).integers(-(2**61), 2**61, (50, 7))
+    assert whitening.square_sums(t, 0).tolist() == [sum(int(a) ** 2 for a in t[:, j]) for j in range(7)]
+    assert whitening.square_sums(t, 1).tolist() == [sum(int(a) ** 2 for a in row) for row in t]
+    small = t >> 45
+    assert whitening.square_sums(small, 0).tolist() == [sum(int(a) ** 2 for a in small[:, j]) for j in range(7)]
+
+
+def test_large_entries_are_exact_or_refused(spark):
+    r = np.random.default_rng(5)
+    rows = [(i, [float(e) for e in v]) for i, v in enumerate(r.normal(size=(40, 5)) * 1e9)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    out = whitening.whiten(df).collect()
+    _, deviation, _, _, _ = brute_white(rows)
+    assert sorted({(r.vec_id, int(r.deviation)) for r in out}) == sorted((i, d) for (i, _), d in zip(rows, deviation))
+    df = spark.createDataFrame([(1, [1e30]), (2, [2.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="leaves"):
+        whitening.whiten(df).collect()
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None)], [(1, [1.0, 2.0])], [(1, [1.0, 2.0]), (2, [1.0, 2.0])], BAD[:4]])
+def test_nothing_to_whiten(spark, rows):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert whitening.whiten(df).collect() == []
+
+
+def test_components_without_variance_are_left_out(spark):
+    rows = [(i, [float(i), 2.0 * i, 1.0]) for i in range(9)]
+    out = whitening.whiten(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {r.component for r in out} == {1} and len(out) == 9
+    assert out[0].explained == pytest.approx(1.0)
+
+
+def brute_nearest(rows, k=20, dim=8):
+    taken = [(i, np.array(v, float)) for i, v in whole(rows, dim) if any(v)]
+    out = []
+    for a, (i, v) in enumerate(taken):
+        if i is None or i % 20:
+            continue
+        scores = [0.0] * len(taken)
+        for b, (_, u) in enumerate(taken):
+            for x, y in zip(v.tolist(), u.tolist()):
+                scores[b] += x * y
+        best = sorted((-scores[b], j is None, j or 0) for b, (j, _) in enumerate(taken) if b != a)[:k]
+        out += [(i, rank, None if null else j, -s) for rank, (s, null, j) in enumerate(best, 1)]
+    return sorted(out, key=repr)
+
+
+def test_block_search_is_brute_force_with_many_small_groups(vectors):
+    rows, df = vectors
+    found = search.nearest(df, F.col("vec_id") % 20 == 0, query_rows=16, candidate_rows=100)
+    assert sorted(map(tuple, found.collect()), key=repr) == brute_nearest(rows)
+
+
+def test_block_search_query_finds_all(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
+    found = queries.op13_block_search(spark, folder).collect()
+    assert sorted(map(tuple, found), key=repr) == brute_nearest(rows, dim=64)  # recall 1
+
+
+def test_bounds_hold_for_every_pair():
+    r = np.random.default_rng(2)
+    for scale in (1e-150, 1.0, 1e100):
+        a, b = (r.normal(size=(n, 40)) * scale * r.uniform(0.01, 10, (n, 1)) for n in (30, 50))
+        q, c = (search.Quantised(np.arange(len(x)), np.arange(len(x)), np.ones(len(x), bool), x) for x in (a, b))
+        off = q.norm[:, None] * c.lost[None] + q.lost[:, None] * c.near[None]
+        assert (np.abs(search.products(q, c) - a @ b.T) <= off).all()
+        assert np.abs(q.codes).max() <= 127
+
+
+def test_tiles_over_many_dimensions_are_whole_numbers():
+    r = np.random.default_rng(4)
+    x = r.normal(size=(5, 3 * search._SLAB + 7))
+    q = search.Quantised(np.arange(5), np.arange(5), np.ones(5, bool), x)
+    codes = q.codes.astype(np.int64)
+    assert np.allclose(search.products(q, q), codes @ codes.T * q.scale[:, None] * q.scale[None], rtol=1e-15)
+
+
+@pytest.mark.parametrize("rows", [[], [(20, None)], [(20, [0.0, 0.0])], [(7, [1.0, 2.0])], [(None, [1.0])]])
+def test_no_queries_no_result(spark, rows):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert search.nearest(df, F.col("vec_id") % 20 == 0).collect() == []
+
+
+def test_fewer_candidates_than_asked(spark):
+    df = spark.createDataFrame([(20, [1.0, 0.0]), (1, [2.0, 1.0]), (2, [2.0, 5.0])], "vec_id long, embedding array<float>")
+    found = search.nearest(df, F.col("vec_id") % 20 == 0).orderBy("rank").collect()
+    assert [tuple(r) for r in found] == [(20, 1, 1, 2.0), (20, 2, 2, 2.0)]
