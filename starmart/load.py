@@ -1,82 +1,124 @@
 """The load job: raw inputs → staging → clean layer → star schema.
 
-Order of work (each step one or a few Spark jobs):
+One load is one transaction on the warehouse's commit log (``sinks.commits``):
 
 1. optional staging copy of the raw inputs (``tmp_*``, rebuilt);
 2. clean layer (``tb_*``, rebuilt) written parents-first and read back, so
    the dedup and parent filters run once and later steps scan Parquet;
-3. star tables created where absent; the tables as they stand are read
-   (the file listing is taken now: this is the "before" snapshot);
-4. every row this load adds is computed before anything is published:
-   new dimension members (insert-if-absent, keys continuing after the
-   current maximum), then the fact rows — resolved against existing ∪ new
-   dimensions and passed through the rerun guard against the fact as it
-   stood before the load. Fact candidates and the numbered rows of key
-   assignment are written to the shared checkpoint folder, which fixes them
-   and cuts the lineage;
-5. the constraint audit runs over the clean layer and the star as it will
-   be (existing ∪ new); nothing is published when it finds anything, unless
+3. the star as the load found it: the folders of the version it began from;
+4. new dimension members (insert-if-absent, keys continuing after the current
+   maximum), then the fact rows, resolved against existing and new dimensions
+   and passed through the rerun guard against the fact as it stood, each
+   written once, in folders that no reader looks at yet;
+5. the orders snapshot, written anew beside the old one: orders of earlier
+   loads stay, those of this one replace theirs;
+6. the constraint audit over the clean layer and the star as it will be, read
+   from what was written; nothing is published when it finds anything, unless
    ``raise_on_violation=False`` asks for that;
-6. publish: the orders snapshot (earlier loads' orders stay), the dimensions,
-   then the fact, each written aside and renamed into place;
-7. intermediates dropped unless kept.
+7. one log entry publishes all tables. A load that breaks off anywhere before
+   leaves all of them as they were, and of two loads that began from one
+   version the second raises ``ConcurrentLoad``; either may be run again.
 
-A rerun after a failure anywhere is harmless: every append is
-insert-if-absent against what is already published, and surrogate keys are
-read back from the published dimensions, never recomputed.
+What is staged on the way (fact candidates, numbered rows of key assignment)
+lies in a folder of the job below the shared checkpoint folder and goes with
+the job.
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.operators import next_key
+from starmart import schemas
 from starmart.plans import clean, dims, fact
 from starmart.plans.quality import audit_constraints
 from starmart.plans.star import CleanTables, Star
-from starmart.session import checkpoint_root
-from starmart.sinks.warehouse import Warehouse
+from starmart.session import job_scratch, scratch_path
+from starmart.sinks.warehouse import Load, Warehouse
 from starmart.sources.raw import RawSources
 
+DIMENSIONS = ("dim_date", "dim_customer", "dim_product", "dim_seller")
+
 
 @dataclass
 class LoadReport:
     added: dict[str, int] = field(default_factory=dict)
     violations: int | None = None
     published: bool = False
+    version: int | None = None
 
 
-def stage_raw(wh: Warehouse, raw: RawSources) -> RawSources:
+def stage_raw(load: Load, raw: RawSources) -> RawSources:
     names = dict(zip(("orders", "items", "customers", "products", "sellers"), Warehouse.STAGING_TABLES))
-    return RawSources(**{k: wh.overwrite(names[k], v) for k, v in raw.as_dict().items()})
+    return RawSources(**{k: load.replace(names[k], v) for k, v in raw.as_dict().items()})
 
 
-def write_clean(wh: Warehouse, raw: RawSources) -> CleanTables:
+def write_clean(load: Load, raw: RawSources) -> CleanTables:
     """Rebuild the clean layer, parents before children.
 
     Each child is planned against its parents *as written* (read back from
     Parquet), so a parent's dedup and joins run once, not again inside every
     child's plan.
     """
-    customers = wh.overwrite("tb_customers", clean.clean_customers(raw.customers))
-    sellers = wh.overwrite("tb_sellers", clean.clean_sellers(raw.sellers))
-    products = wh.overwrite("tb_products", clean.clean_products(raw.products))
-    orders = wh.overwrite("tb_orders", clean.clean_orders(raw.orders, customers))
-    items = wh.overwrite("tb_order_items", clean.clean_order_items(raw.items, orders, products, sellers))
+    customers = load.replace("tb_customers", clean.clean_customers(raw.customers))
+    sellers = load.replace("tb_sellers", clean.clean_sellers(raw.sellers))
+    products = load.replace("tb_products", clean.clean_products(raw.products))
+    orders = load.replace("tb_orders", clean.clean_orders(raw.orders, customers))
+    items = load.replace("tb_order_items", clean.clean_order_items(raw.items, orders, products, sellers))
     return CleanTables(customers, sellers, products, orders, items)
 
 
 def stage(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
-    """Write ``df`` once below the checkpoint folder and read it back."""
-    path = f"{checkpoint_root(spark)}/starmart/stage/{name}-{uuid.uuid4().hex}"
+    """Write ``df`` once to the job's scratch folder and read it back."""
+    path = scratch_path(spark, "stage", name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def write_snapshot(load: Load, raw: RawSources) -> DataFrame:
+    """The orders of this delivery, and those of earlier loads that it doesn't have."""
+    orders = clean.snapshot_orders(raw.orders)
+    if load.before.tables.get(Warehouse.SNAPSHOT):
+        orders = stage(load.spark, "snapshot", orders)
+        # The delivery is hashed; the stored snapshot, bucketed by order, streams past it.
+        had = load.read(Warehouse.SNAPSHOT).join(orders.select("order_id").hint("shuffle_hash"), "order_id", "left_anti")
+        orders = had.unionByName(orders)
+    return load.replace(Warehouse.SNAPSHOT, orders)
+
+
+def write_star(load: Load, tb: CleanTables, load_date=None) -> None:
+    for name, schema in schemas.STAR_SCHEMAS.items():
+        load.ensure(name, schema)
+    new = {
+        "dim_date": lambda old: dims.new_dim_date(tb.orders, old),
+        "dim_customer": lambda old: dims.new_dim_customer(tb.customers, old, load_date),
+        "dim_product": lambda old: dims.new_dim_product(tb.products, old),
+        "dim_seller": lambda old: dims.new_dim_seller(tb.sellers, old),
+    }
+    for name in DIMENSIONS:
+        load.append(name, new[name](load.read(name)))
+    whole = {name: load.read(name) for name in DIMENSIONS}
+    candidates = fact.fact_candidates(
+        tb.order_items, tb.orders, whole["dim_customer"], whole["dim_product"], whole["dim_seller"], whole["dim_date"]
+    )
+    # Written once: the guard, the range sample of key assignment and its numbering read them.
+    candidates = stage(load.spark, "fact_candidates", candidates)
+    stored = load.tables["fact_sales"]
+    if stored.folders:
+        candidates = guarded(load, candidates)
+    load.append("fact_sales", fact.key_fact(candidates, stored.top + 1))
+
+
+def guarded(load: Load, candidates: DataFrame) -> DataFrame:
+    """Candidates that the stored fact doesn't have; folders whose orders all lie outside the batch's are not read."""
+    bounds = candidates.agg(F.min("order_id"), F.max("order_id")).first()
+    if bounds[0] is None:
+        return candidates
+    return stage(load.spark, "fact_fresh", fact.rerun_guard(candidates, load.read("fact_sales", tuple(bounds))))
+
+
 def run_load(
     spark: SparkSession,
     raw: RawSources,
@@ -87,61 +129,24 @@ def run_load(
     audit: bool = True,
     raise_on_violation: bool = True,
 ) -> LoadReport:
-    wh = Warehouse(spark, root)
-    if stage_inputs:
-        raw = stage_raw(wh, raw)
-    tb = write_clean(wh, raw)
-
-    wh.ensure_star()
-    before = wh.read_star_tables()
-
-    # New rows of every table. Key assignment writes its numbered rows to
-    # the checkpoint folder, so each frame below is a scan of fixed rows plus
-    # a broadcast of per-partition offsets: evaluating it for the audit and
-    # again for the append gives the same rows.
-    added = {
-        "dim_date": dims.new_dim_date(tb.orders, before["dim_date"]),
-        "dim_customer": dims.new_dim_customer(tb.customers, before["dim_customer"], load_date),
-        "dim_product": dims.new_dim_product(tb.products, before["dim_product"]),
-        "dim_seller": dims.new_dim_seller(tb.sellers, before["dim_seller"]),
-    }
-    after = {name: before[name].unionByName(added[name]) for name in added}
-    candidates = fact.fact_candidates(
-        tb.order_items,
-        tb.orders,
-        after["dim_customer"],
-        after["dim_product"],
-        after["dim_seller"],
-        after["dim_date"],
-    )
-    # The candidates (five joins and the guard) are written once: key
-    # assignment reads them three times (count, range sample, numbering).
-    fresh = stage(spark, "fact_candidates", fact.rerun_guard(candidates, before["fact_sales"]))
-    added["fact_sales"] = fact.key_fact(fresh, next_key(before["fact_sales"], "sale_sk"))
-    after["fact_sales"] = before["fact_sales"].unionByName(added["fact_sales"])
-
-    report = LoadReport(added={name: df.count() for name, df in added.items()})
-    if audit:
-        future = Star(**after, orders_snapshot=tb.orders)
-        found = audit_constraints(tb, future)
-        report.violations = int(found.agg(F.sum("violations")).first()[0] or 0)
-        if raise_on_violation and report.violations:
-            raise ValueError(f"constraint audit found {report.violations} violations; nothing published")
-
-    # The snapshot covers what the fact covers: orders of earlier loads stay,
-    # those of this one replace theirs. It goes first, so no published sale
-    # is without its order.
-    orders = tb.orders
-    if wh.exists(Warehouse.SNAPSHOT):
-        earlier = wh.read(Warehouse.SNAPSHOT).join(orders.select("order_id"), "order_id", "left_anti")
-        orders = stage(spark, "orders_snapshot", earlier.unionByName(orders, allowMissingColumns=True))
-    wh.overwrite(Warehouse.SNAPSHOT, orders)
-    for name in ("dim_customer", "dim_product", "dim_seller", "dim_date", "fact_sales"):
-        wh.append(name, added[name])
-    report.published = True
-
-    if not keep_intermediate:
-        wh.drop_intermediates()
+    wh, report = Warehouse(spark, root), LoadReport()
+    with job_scratch(spark), wh.begin() as load:
+        if stage_inputs:
+            raw = stage_raw(load, raw)
+        tb = write_clean(load, raw)
+        write_star(load, tb, load_date)
+        snapshot = write_snapshot(load, raw)
+        report.added = {name: load.added(name) for name in schemas.STAR_ORDER}
+        if audit:
+            star = Star(**{name: load.read(name) for name in schemas.STAR_ORDER}, orders_snapshot=snapshot)
+            report.violations = int(audit_constraints(tb, star).agg(F.sum("violations")).first()[0] or 0)
+            if raise_on_violation and report.violations:
+                raise ValueError(f"constraint audit found {report.violations} violations; nothing published")
+        if not keep_intermediate:
+            for name in (*Warehouse.CLEAN_TABLES, *Warehouse.STAGING_TABLES):
+                load.drop(name)
+        report.version = load.commit().version
+        report.published = True
     return report
 
 

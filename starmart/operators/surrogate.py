@@ -22,7 +22,6 @@ Calling it runs the job that writes the positions.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -32,9 +31,9 @@ _LOW_33_BITS = (1 << 33) - 1
 
 
 def _write_back(df: DataFrame, name: str) -> DataFrame:
-    from starmart.session import checkpoint_root
+    from starmart.session import scratch_path
 
-    path = f"{checkpoint_root(df.sparkSession)}/starmart/keys/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, "keys", name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

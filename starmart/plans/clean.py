@@ -74,6 +74,23 @@ def clean_orders(raw: DataFrame, customers: DataFrame) -> DataFrame:
     return distinct_on(df, ["order_id"])
 
 
+def snapshot_orders(raw: DataFrame) -> DataFrame:
+    """The orders as delivered, with clean ids and typed times, one row per order id: what the snapshot keeps.
+
+    It stands for the raw orders, not for the clean layer: orders of unknown
+    customers stay in, and a missing status stays NULL. A report over the
+    snapshot alone (delivery times) counts every delivered order; those that
+    join it with the fact meet the loaded ones by themselves.
+    """
+    df = raw.select(
+        required(clean_id("order_id"), "orders_snapshot.order_id").alias("order_id"),
+        clean_id("customer_id").alias("customer_id"),
+        "order_status",
+        *ORDER_TS,
+    )
+    return distinct_on(df, ["order_id"])
+
+
 ITEM_ORDER = ("product_id", "seller_id", "price", "freight_value", "shipping_limit_date")
 
 

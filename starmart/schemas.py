@@ -83,3 +83,4 @@ STAR_SCHEMAS = {
 }
 # Dimensions first: the fact refers to them.
 STAR_ORDER = ("dim_customer", "dim_product", "dim_seller", "dim_date", "fact_sales")
+SURROGATE_KEYS = {name: schema.fieldNames()[0] for name, schema in STAR_SCHEMAS.items()}

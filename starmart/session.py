@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -70,6 +73,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+_job_folder: ContextVar[str | None] = ContextVar("starmart_job_folder", default=None)
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder for what a job stages; ``scratch_path`` gives paths in it until the job ends, then it is removed."""
+    folder = f"{checkpoint_root(spark)}/starmart/job-{uuid.uuid4().hex}"
+    token = _job_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _job_folder.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh path below the checkpoint root (never reused)."""
-    return "/".join([checkpoint_root(spark), "starmart", *parts, uuid.uuid4().hex])
+    """A fresh path in the running job's folder, or below the checkpoint root (never reused)."""
+    base = _job_folder.get() or f"{checkpoint_root(spark)}/starmart"
+    return "/".join([base, *parts, uuid.uuid4().hex])
