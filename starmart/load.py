@@ -26,6 +26,9 @@ the job.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,12 +38,10 @@ from starmart import schemas
 from starmart.plans import clean, dims, fact
 from starmart.plans.quality import audit_constraints
 from starmart.plans.star import CleanTables, Star
-from starmart.session import job_scratch, scratch_path
+from starmart.session import job_scratch, stage_rows
 from starmart.sinks.warehouse import Load, Warehouse
 from starmart.sources.raw import RawSources
 
-DIMENSIONS = ("dim_date", "dim_customer", "dim_product", "dim_seller")
-
 
 @dataclass
 class LoadReport:
@@ -55,60 +56,60 @@ def stage_raw(load: Load, raw: RawSources) -> RawSources:
     return RawSources(**{k: load.replace(names[k], v) for k, v in raw.as_dict().items()})
 
 
-def write_clean(load: Load, raw: RawSources) -> CleanTables:
-    """Rebuild the clean layer, parents before children.
-
-    Each child is planned against its parents *as written* (read back from
-    Parquet), so a parent's dedup and joins run once, not again inside every
-    child's plan.
-    """
-    customers = load.replace("tb_customers", clean.clean_customers(raw.customers))
-    sellers = load.replace("tb_sellers", clean.clean_sellers(raw.sellers))
-    products = load.replace("tb_products", clean.clean_products(raw.products))
-    orders = load.replace("tb_orders", clean.clean_orders(raw.orders, customers))
-    items = load.replace("tb_order_items", clean.clean_order_items(raw.items, orders, products, sellers))
-    return CleanTables(customers, sellers, products, orders, items)
-
-
-def stage(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the job's scratch folder and read it back."""
-    path = scratch_path(spark, "stage", name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def together(*jobs: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Run independent steps of a load as concurrent Spark jobs; all have ended when it returns or raises."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(copy_context().run, step) for step in jobs]
+    return [r.result() for r in running]
 
 
 def write_snapshot(load: Load, raw: RawSources) -> DataFrame:
     """The orders of this delivery, and those of earlier loads that it doesn't have."""
     orders = clean.snapshot_orders(raw.orders)
     if load.before.tables.get(Warehouse.SNAPSHOT):
-        orders = stage(load.spark, "snapshot", orders)
+        orders = stage_rows(orders)
         # The delivery is hashed; the stored snapshot, bucketed by order, streams past it.
         had = load.read(Warehouse.SNAPSHOT).join(orders.select("order_id").hint("shuffle_hash"), "order_id", "left_anti")
         orders = had.unionByName(orders)
     return load.replace(Warehouse.SNAPSHOT, orders)
 
 
-def write_star(load: Load, tb: CleanTables, load_date=None) -> None:
+def write_tables(load: Load, raw: RawSources, load_date=None) -> tuple[CleanTables, DataFrame]:
+    """Clean layer, dimensions, snapshot and fact; returns the clean layer and the snapshot.
+
+    A table is planned against its parents *as written* (read back from
+    Parquet), so a parent's dedup and joins run once, not again inside every
+    child's plan. Steps that don't need each other run at the same time.
+    """
     for name, schema in schemas.STAR_SCHEMAS.items():
         load.ensure(name, schema)
-    new = {
-        "dim_date": lambda old: dims.new_dim_date(tb.orders, old),
-        "dim_customer": lambda old: dims.new_dim_customer(tb.customers, old, load_date),
-        "dim_product": lambda old: dims.new_dim_product(tb.products, old),
-        "dim_seller": lambda old: dims.new_dim_seller(tb.sellers, old),
-    }
-    for name in DIMENSIONS:
-        load.append(name, new[name](load.read(name)))
-    whole = {name: load.read(name) for name in DIMENSIONS}
-    candidates = fact.fact_candidates(
-        tb.order_items, tb.orders, whole["dim_customer"], whole["dim_product"], whole["dim_seller"], whole["dim_date"]
+    customers, sellers, products = together(
+        lambda: load.replace("tb_customers", clean.clean_customers(raw.customers)),
+        lambda: load.replace("tb_sellers", clean.clean_sellers(raw.sellers)),
+        lambda: load.replace("tb_products", clean.clean_products(raw.products)),
+    )
+    orders = load.replace("tb_orders", clean.clean_orders(raw.orders, customers))
+
+    def members(name: str, rows: Callable[[DataFrame], DataFrame]) -> Callable[[], DataFrame]:
+        return lambda: load.append(name, rows(load.read(name)))
+
+    items, snapshot, *_ = together(
+        lambda: load.replace("tb_order_items", clean.clean_order_items(raw.items, orders, products, sellers)),
+        lambda: write_snapshot(load, raw),
+        members("dim_date", lambda had: dims.new_dim_date(orders, had)),
+        members("dim_customer", lambda had: dims.new_dim_customer(customers, had, load_date)),
+        members("dim_product", lambda had: dims.new_dim_product(products, had)),
+        members("dim_seller", lambda had: dims.new_dim_seller(sellers, had)),
     )
+    tb = CleanTables(customers, sellers, products, orders, items)
+    whole = [load.read(name) for name in ("dim_customer", "dim_product", "dim_seller", "dim_date")]
     # Written once: the guard, the range sample of key assignment and its numbering read them.
-    candidates = stage(load.spark, "fact_candidates", candidates)
+    candidates = stage_rows(fact.fact_candidates(items, orders, *whole))
     stored = load.tables["fact_sales"]
     if stored.folders:
         candidates = guarded(load, candidates)
     load.append("fact_sales", fact.key_fact(candidates, stored.top + 1))
+    return tb, snapshot
 
 
 def guarded(load: Load, candidates: DataFrame) -> DataFrame:
@@ -116,7 +117,7 @@ def guarded(load: Load, candidates: DataFrame) -> DataFrame:
     bounds = candidates.agg(F.min("order_id"), F.max("order_id")).first()
     if bounds[0] is None:
         return candidates
-    return stage(load.spark, "fact_fresh", fact.rerun_guard(candidates, load.read("fact_sales", tuple(bounds))))
+    return stage_rows(fact.rerun_guard(candidates, load.read("fact_sales", tuple(bounds))))
 
 
 def run_load(
@@ -133,13 +134,12 @@ def run_load(
     with job_scratch(spark), wh.begin() as load:
         if stage_inputs:
             raw = stage_raw(load, raw)
-        tb = write_clean(load, raw)
-        write_star(load, tb, load_date)
-        snapshot = write_snapshot(load, raw)
+        tb, snapshot = write_tables(load, raw, load_date)
         report.added = {name: load.added(name) for name in schemas.STAR_ORDER}
         if audit:
             star = Star(**{name: load.read(name) for name in schemas.STAR_ORDER}, orders_snapshot=snapshot)
-            report.violations = int(audit_constraints(tb, star).agg(F.sum("violations")).first()[0] or 0)
+            found = audit_constraints(tb, star, load.deltas(schemas.STAR_ORDER))
+            report.violations = int(found.agg(F.sum("violations")).first()[0] or 0)
             if raise_on_violation and report.violations:
                 raise ValueError(f"constraint audit found {report.violations} violations; nothing published")
         if not keep_intermediate:

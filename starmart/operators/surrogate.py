@@ -30,27 +30,20 @@ from pyspark.sql import functions as F
 _LOW_33_BITS = (1 << 33) - 1
 
 
-def _write_back(df: DataFrame, name: str) -> DataFrame:
-    from starmart.session import scratch_path
-
-    path = scratch_path(df.sparkSession, "keys", name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def assign_surrogate_keys(
     df: DataFrame, order: Sequence[str], sk_col: str, start: int = 1, partitions: int | None = None
 ) -> DataFrame:
     """Add ``sk_col`` = start + (0-based rank of the row under ``order``)."""
+    from starmart.session import stage_rows
+
     spark = df.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     p, pos, off = "__sk_part", "__sk_pos", "__sk_offset"
-    placed = _write_back(
+    placed = stage_rows(
         df.repartitionByRange(parts, *[F.col(c).asc() for c in order])
         .sortWithinPartitions(*order)
         .withColumn(p, F.spark_partition_id())
-        .withColumn(pos, F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_33_BITS))),
-        sk_col,
+        .withColumn(pos, F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_33_BITS)))
     )
     offsets, before = [], 0
     for part, rows in sorted(tuple(r) for r in placed.groupBy(p).agg(F.count(F.lit(1))).collect()):

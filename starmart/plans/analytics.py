@@ -22,14 +22,14 @@ from pyspark.sql import functions as F
 
 from starmart.functions import (
     elapsed_days,
-    first_of_month,
     label,
     make_period,
-    months_between_starts,
+    month_index,
     year_month,
 )
 from starmart.functions import defaults as dv
 from starmart.plans.star import Star
+from starmart.session import stage_bucketed, stage_rows
 
 SUM_TYPE = "decimal(38,2)"
 
@@ -67,29 +67,40 @@ def top_products(star: Star, k: int = 10) -> DataFrame:
 
 
 # --- A-3 -------------------------------------------------------------------
+def cube_cells(star: Star) -> DataFrame:
+    """Revenue by seller, product, year and month, written once, bucketed by product.
+
+    Sales are summed by day where they are read, then by cell, so what a hot
+    pair of seller and product moves is its days and months.
+    """
+    spark = star.fact_sales.sparkSession
+    s, p = "seller_sk", "product_sk"
+    daily = star.fact_sales.groupBy(s, p, "date_sk").agg(F.sum(_revenue()).alias("revenue"))
+    dates = star.dim_date.select("date_sk", "year", "month")
+    cells = daily.join(dates, "date_sk").groupBy(s, p, "year", "month").agg(F.sum("revenue").alias("revenue"))
+    return stage_bucketed(cells, p, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def sales_cube(star: Star, sort: bool = True) -> DataFrame:
     """Revenue over every combination of seller, product, year and month.
 
     16 grouping sets; a NULL key means "all" (the keys are never NULL
     themselves). Nearly every sale is a cell of its own at the finest grain, so
-    expanding cells 16 times would shuffle 16 fact tables. Instead the cells
-    are clustered once by (seller, product), which serves the four sets that
-    hold both; the sets that hold one of them, or none, come from its own
-    monthly cells, which are few. Sales are summed map-side before they are
-    shuffled, so a pair that holds a third of them moves its months only.
+    expanding cells 16 times would shuffle 16 fact tables. Instead the finest
+    cells are written once, bucketed by product: the eight sets that hold the
+    product are sums within a bucket and move nothing. The other eight come
+    from the sellers' monthly cells, summed before they are moved.
     """
-    dates = star.dim_date.select("date_sk", "year", "month")
     s, p, y, m = "seller_sk", "product_sk", "year", "month"
-    sales = star.fact_sales.select(s, p, "date_sk", _revenue().alias("revenue")).join(dates, "date_sk")
 
     def total(df: DataFrame, *keys: str) -> DataFrame:
         return df.groupBy(*keys).agg(F.sum("revenue").alias("revenue"))
 
-    cells = total(sales, s, p, y, m).repartition(s, p)
-    sellers, products = total(cells, s, y, m), total(cells, p, y, m)
+    cells = cube_cells(star)
+    products, sellers = total(cells, p, y, m), stage_rows(total(cells, s, y, m))
     months = total(sellers, y, m)
     sets = [cells, total(cells, s, p, y), total(cells, s, p, m), total(cells, s, p)]
-    for few, key in ((sellers, [s]), (products, [p]), (months, [])):
+    for few, key in ((products, [p]), (sellers, [s]), (months, [])):
         sets += [few, total(few, *key, y), total(few, *key, m), total(few, *key)]
     keys = [
         [F.col(c) if c in part.columns else F.lit(None).cast(cells.schema[c].dataType).alias(c) for c in (s, p, y, m)]
@@ -99,7 +110,7 @@ def sales_cube(star: Star, sort: bool = True) -> DataFrame:
     # An empty fact has no cells; the grand total of nothing is no row either.
     cube = reduce(DataFrame.unionAll, parts[:-1]).unionAll(parts[-1].where("total_vendas is not null"))
     if sort:
-        cube = cube.orderBy(
+        cube = stage_rows(cube).orderBy(
             F.asc_nulls_last("seller_sk"),
             F.asc_nulls_last("product_sk"),
             F.asc_nulls_last("year"),
@@ -108,50 +119,61 @@ def sales_cube(star: Star, sort: bool = True) -> DataFrame:
     return cube
 
 
-def _sales_with_purchase_time(star: Star) -> DataFrame:
-    """(order, customer) once each — several items share them — with the order's purchase time."""
-    return star.fact_sales.select("order_id", "customer_sk").distinct().join(
-        star.orders_snapshot.select("order_id", "order_purchase_timestamp"), "order_id"
-    )
+# --- A-4 -------------------------------------------------------------------
+MONTHS_A_WORD = 60
+
+
+def customer_months(star: Star) -> tuple[DataFrame, int, int]:
+    """``customer_sk, words``: the months in which a customer bought, as bits from a base month; the base and the span.
+
+    A word holds 60 months; a customer's are or-ed together where they are
+    read, so a customer with any number of sales sends a row from each task.
+    Orders without a purchase time have no month.
+    """
+    at = month_index("order_purchase_timestamp")
+    orders = star.orders_snapshot.select("order_id", at.alias("at"))
+    base, top = orders.agg(F.min("at"), F.max("at")).first()
+    base, span = (base, top - base + 1) if base is not None else (0, 0)
+    month = F.col("at") - F.lit(base)
+    words = []
+    for word in range(-(-span // MONTHS_A_WORD)):
+        bit = F.expr(f"shiftleft(1L, cast(pmod(at - {base}, {MONTHS_A_WORD}) as int))")
+        here = F.floor(month / MONTHS_A_WORD) == word
+        words.append(F.coalesce(F.bit_or(F.when(here, bit)), F.lit(0).cast("long")))
+    sales = star.fact_sales.select("order_id", "customer_sk").join(orders.where("at is not null"), "order_id")
+    found = F.array(*words) if words else F.array().cast("array<bigint>")
+    return sales.groupBy("customer_sk").agg(found.alias("words")), base, span
 
 
-# --- A-4 -------------------------------------------------------------------
 def cohort_retention(star: Star) -> DataFrame:
     """Monthly cohorts by first purchase month and their retention.
 
-    Plan: distinct (customer, purchase month) pairs (partial-aggregated, so
-    a customer with very many items is cut down map-side); the cohort is
-    the smallest month of each customer (a window over a customer's months,
-    bounded by the calendar); cells are counted per (cohort, month offset);
-    the cohort size is the month-0 cell, joined back on the cohort. Each
-    customer-month pair is unique, so plain counts are exact distinct counts.
+    Fact and snapshot are bucketed by order and meet in place; the one shuffle
+    of their rows is by customer, of one set of month bits each. The cohort is
+    the lowest bit; every bit is one (cohort, month offset) and is counted where
+    it stands. The cohort's size is its month 0, found by a window over those
+    few cells.
     """
-    months = (
-        _sales_with_purchase_time(star)
-        .select("customer_sk", first_of_month("order_purchase_timestamp").alias("purchase_month"))
-        .distinct()
-    )
-    activity = months.withColumn(
-        "cohort_start", F.min("purchase_month").over(Window.partitionBy("customer_sk"))
-    ).select(
-        year_month("cohort_start").alias("cohort_month"),
-        months_between_starts("purchase_month", "cohort_start").alias("month_number"),
-    )
-    cells = activity.groupBy("cohort_month", "month_number").agg(F.count(F.lit(1)).alias("retained_customers"))
-    sizes = cells.where(F.col("month_number") == 0).select(
-        "cohort_month", F.col("retained_customers").alias("cohort_size")
-    )
-    return (
-        cells.join(sizes, "cohort_month")
-        .select(
-            "cohort_month",
-            "month_number",
-            "retained_customers",
-            "cohort_size",
-            (F.col("retained_customers").cast("double") * 100 / F.col("cohort_size")).alias("retention_rate"),
-        )
-        .orderBy("cohort_month", "month_number")
+    customers, base, span = customer_months(star)
+    numbers = F.sequence(F.lit(0), F.lit(max(span - 1, 0)))
+    word = lambda i: F.get("words", F.floor(i / MONTHS_A_WORD).cast("int"))
+    bought = F.filter(numbers, lambda i: F.getbit(word(i), (i % MONTHS_A_WORD).cast("int")) == 1)
+    months = customers.select(bought.alias("months")).select(F.element_at("months", 1).alias("first"), "months")
+    active = months.select("first", F.explode("months").alias("at"))
+    cells = active.groupBy("first", (F.col("at") - F.col("first")).alias("month_number")).agg(
+        F.count(F.lit(1)).alias("retained_customers")
     )
+    zero = F.when(F.col("month_number") == 0, F.col("retained_customers"))
+    cells = cells.withColumn("cohort_size", F.max(zero).over(Window.partitionBy("first")))
+    index = F.col("first") + F.lit(base) - 1  # year * 12 + month, with January as 1
+    month = F.format_string("%04d-%02d", F.floor(index / 12).cast("int"), (index % 12 + 1).cast("int"))
+    return cells.select(
+        month.alias("cohort_month"),
+        F.col("month_number").cast("int").alias("month_number"),
+        "retained_customers",
+        "cohort_size",
+        (F.col("retained_customers").cast("double") * 100 / F.col("cohort_size")).alias("retention_rate"),
+    ).orderBy("cohort_month", "month_number")
 
 
 def _round_half_up_ratio(cents: str, n: str) -> Column:

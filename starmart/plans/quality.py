@@ -9,14 +9,16 @@ refuse is counted here instead:
 * ``foreign key`` — child rows (non-NULL key) with no parent;
 * ``width`` — text longer than its declared width.
 
-Each check is an aggregate that reduces map-side before its shuffle (the
-duplicate check shuffles one partial count per key, the orphan check is an
-anti join), and the not-null and width checks of a table share one scan.
+Each check is an aggregate that reduces map-side before its shuffle. A key's
+duplicates and its children's orphans come from one shuffle by that key, the
+not-null and width checks of a table from one scan, and the fact's keys from
+bounds and fingerprints that move no key at all.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,69 +70,151 @@ def orphans(child: DataFrame, parent: DataFrame, table: str, fk: str, parent_tab
     return _row(lost, table, f"foreign key ({fk}) -> {parent_table}", F.count(F.lit(1)))
 
 
-def key_orphans(child: DataFrame, parent: DataFrame, table: str, key: str, parent_table: str) -> DataFrame:
-    """Foreign-key check against a surrogate key, without shuffling the child.
+@dataclass(frozen=True)
+class KeyFacts:
+    """Of a table's surrogate key: rows, bounds, and whether it is each whole number between them once."""
 
-    When the parent's keys are unique and gap-free (count = distinct count =
-    max - min + 1, as key assignment produces them), a child key has no
-    parent exactly when it lies outside [min, max]: one scan of the child
-    with a range predicate. Otherwise it falls back to the anti join. The
-    parent statistics are one small aggregate over the dimension.
+    rows: int
+    low: int | None
+    high: int | None
+    dense: bool
+
+    def joined(self, had: Sequence) -> KeyFacts:
+        """With the folders that were there, whose keys were checked when they came."""
+        parts = [(f.low, f.high, f.rows) for f in had] + ([(self.low, self.high, self.rows)] if self.rows else [])
+        parts = sorted(p for p in parts if p[0] is not None)
+        if not parts:
+            return self
+        # Dense parts, end to end, are dense together.
+        whole = self.dense and all(b[0] == a[1] + 1 for a, b in zip(parts, parts[1:]))
+        whole = whole and all(n == high - low + 1 for low, high, n in parts)
+        return KeyFacts(sum(n for _, _, n in parts), parts[0][0], parts[-1][1], whole)
+
+
+def _fingerprint(key: str) -> list[Column]:
+    """Two sums of 64-bit hashes: equal for two tables of keys if these hold the same keys equally often."""
+    return [F.sum(F.xxhash64(F.lit(seed), F.col(key).cast("long")).cast("decimal(38,0)")) for seed in (1, 2)]
+
+
+def key_facts(tables: dict[str, DataFrame], keys: dict[str, Sequence[str]]) -> tuple[dict[str, KeyFacts], dict[str, dict]]:
+    """One scan a table: facts of its first key, and counts, NULLs and bounds of all its keys.
+
+    The first key is dense if it has as many values as its bounds are apart and
+    its fingerprint is that of the whole numbers between them, which are made
+    where they are summed. No key is shuffled. Keys that repeat or are missing
+    pass only if two independent 64-bit sums agree by chance (2 to the -128).
+    """
+    names, found = list(tables), []
+    width = max(len(k) for k in keys.values())
+    for at, name in enumerate(names):
+        cols = list(keys[name])
+        facts = [F.struct(F.count(c), F.min(c), F.max(c)) for c in cols]
+        blank = F.struct(F.lit(0).cast("long"), F.lit(None).cast("long"), F.lit(None).cast("long"))
+        each = F.array(*[f.cast("struct<n:long,lo:long,hi:long>") for f in facts + [blank] * (width - len(cols))])
+        found.append(
+            tables[name].agg(F.lit(at).alias("at"), F.count(F.lit(1)).alias("rows"), each.alias("each"), F.array(*_fingerprint(cols[0])).alias("sums"))
+        )
+    rows = {names[r["at"]]: r for r in _union(found).collect()}
+    spark = next(iter(tables.values())).sparkSession
+    full = {n: r for n, r in rows.items() if r["rows"] and r["rows"] == r["each"][0]["n"] == r["each"][0]["hi"] - r["each"][0]["lo"] + 1}
+    wanted = [
+        spark.range(r["each"][0]["lo"], r["each"][0]["hi"] + 1).agg(F.lit(r["at"]).alias("at"), F.array(*_fingerprint("id")).alias("sums"))
+        for r in full.values()
+    ]
+    sums = {names[r["at"]]: r["sums"] for r in (_union(wanted).collect() if wanted else [])}
+    facts = {
+        n: KeyFacts(r["rows"], r["each"][0]["lo"], r["each"][0]["hi"], not r["rows"] or r["sums"] == sums.get(n))
+        for n, r in rows.items()
+    }
+    bounds = {n: {"rows": r["rows"]} | {c: r["each"][i] for i, c in enumerate(keys[n])} for n, r in rows.items()}
+    return facts, bounds
+
+
+def key_group(parent: DataFrame, table: str, key: str, rule: str, lookups: Sequence[tuple[DataFrame, str]]) -> list[DataFrame]:
+    """Duplicates of a parent's key and orphans of its children, from one shuffle by the key.
+
+    Keys of all tables are counted by table where they are read, so a key
+    with any number of rows sends one row from each task.
     """
-    s = parent.agg(
-        F.min(key).alias("lo"), F.max(key).alias("hi"),
-        F.count(key).alias("n"), F.count_distinct(key).alias("d"),
-    ).first()
-    dense = s["n"] > 0 and s["n"] == s["d"] == s["hi"] - s["lo"] + 1
-    if not dense:
-        return orphans(child, parent, table, key, parent_table)
-    k = F.col(key)
-    outside = child.where(k.isNotNull() & ((k < F.lit(s["lo"])) | (k > F.lit(s["hi"]))))
-    return _row(outside, table, f"foreign key ({key}) -> {parent_table}", F.count(F.lit(1)))
+    sides = [parent.select(F.col(key).alias("k"), F.lit(0).alias("side"))]
+    for at, (child, _) in enumerate(lookups, 1):
+        sides.append(child.select(F.col(key).alias("k"), F.lit(at).alias("side")).where("k is not null"))
+    counts = [F.count_if(F.col("side") == at).alias(f"n{at}") for at in range(len(sides))]
+    by_key = _union(sides).groupBy("k").agg(*counts)
+    sums = [F.sum(F.when(F.col("n0") > 1, F.col("n0") - 1))]
+    sums += [F.sum(F.when(F.col("n0") == 0, F.col(f"n{at}"))) for at in range(1, len(sides))]
+    names = [(table, f"{rule} ({key})")] + [(name, f"foreign key ({key}) -> {table}") for _, name in lookups]
+    total = by_key.agg(*[F.coalesce(c, F.lit(0)).cast("bigint").alias(f"c{i}") for i, c in enumerate(sums)])
+    said = ", ".join(f"'{t}', '{r}', c{i}" for i, (t, r) in enumerate(names))
+    return [total.selectExpr(f"stack({len(names)}, {said}) as (table_name, rule, violations)")]
 
 
 def audit_clean(tb: CleanTables) -> list[DataFrame]:
     L = schemas.VARCHAR_LIMITS
     return [
-        duplicates(tb.customers, "tb_customers", ["customer_id"]),
+        *key_group(tb.customers, "tb_customers", "customer_id", "primary key", [(tb.orders, "tb_orders")]),
         column_checks(tb.customers, "tb_customers", ["customer_id", "customer_unique_id"], L["customers"]),
-        duplicates(tb.sellers, "tb_sellers", ["seller_id"]),
+        *key_group(tb.sellers, "tb_sellers", "seller_id", "primary key", [(tb.order_items, "tb_order_items")]),
         column_checks(tb.sellers, "tb_sellers", ["seller_id"], L["sellers"]),
-        duplicates(tb.products, "tb_products", ["product_id"]),
+        *key_group(tb.products, "tb_products", "product_id", "primary key", [(tb.order_items, "tb_order_items")]),
         column_checks(tb.products, "tb_products", ["product_id"], L["products"]),
-        duplicates(tb.orders, "tb_orders", ["order_id"]),
+        *key_group(tb.orders, "tb_orders", "order_id", "primary key", [(tb.order_items, "tb_order_items")]),
         column_checks(tb.orders, "tb_orders", ["order_id"], L["orders"]),
-        orphans(tb.orders, tb.customers, "tb_orders", "customer_id", "tb_customers"),
         duplicates(tb.order_items, "tb_order_items", ["order_id", "order_item_id"]),
         column_checks(tb.order_items, "tb_order_items", ["order_id", "order_item_id"]),
-        orphans(tb.order_items, tb.orders, "tb_order_items", "order_id", "tb_orders"),
-        orphans(tb.order_items, tb.products, "tb_order_items", "product_id", "tb_products"),
-        orphans(tb.order_items, tb.sellers, "tb_order_items", "seller_id", "tb_sellers"),
     ]
 
 
-def audit_star(star: Star) -> list[DataFrame]:
-    f = star.fact_sales
-    return [
-        duplicates(star.dim_customer, "dim_customer", ["customer_sk"]),
-        not_null(star.dim_customer, "dim_customer", ["customer_sk"]),
-        duplicates(star.dim_customer, "dim_customer", ["customer_id", "effective_from"], "unique"),
-        duplicates(star.dim_product, "dim_product", ["product_sk"]),
-        not_null(star.dim_product, "dim_product", ["product_sk"]),
-        duplicates(star.dim_product, "dim_product", ["product_id"], "unique"),
-        duplicates(star.dim_seller, "dim_seller", ["seller_sk"]),
-        not_null(star.dim_seller, "dim_seller", ["seller_sk"]),
-        duplicates(star.dim_seller, "dim_seller", ["seller_id"], "unique"),
-        duplicates(star.dim_date, "dim_date", ["date_sk"]),
-        not_null(star.dim_date, "dim_date", ["date_sk"]),
-        duplicates(star.dim_date, "dim_date", ["full_date"], "unique"),
-        duplicates(f, "fact_sales", ["sale_sk"]),
-        not_null(f, "fact_sales", ["sale_sk", "customer_sk", "product_sk", "seller_sk", "date_sk"]),
-        key_orphans(f, star.dim_customer, "fact_sales", "customer_sk", "dim_customer"),
-        key_orphans(f, star.dim_product, "fact_sales", "product_sk", "dim_product"),
-        key_orphans(f, star.dim_seller, "fact_sales", "seller_sk", "dim_seller"),
-        key_orphans(f, star.dim_date, "fact_sales", "date_sk", "dim_date"),
-    ]
+#: Keys of the star's tables, the table's own first.
+STAR_KEYS = {
+    "dim_customer": ["customer_sk"],
+    "dim_product": ["product_sk"],
+    "dim_seller": ["seller_sk"],
+    "dim_date": ["date_sk"],
+    "fact_sales": ["sale_sk", "customer_sk", "product_sk", "seller_sk", "date_sk"],
+}
+UNIQUE_KEYS = {
+    "dim_customer": ["customer_id", "effective_from"],
+    "dim_product": ["product_id"],
+    "dim_seller": ["seller_id"],
+    "dim_date": ["full_date"],
+}
+
+
+def audit_star(star: Star, deltas: dict | None = None) -> list[DataFrame]:
+    """Checks of the star, the fact read once and its keys not shuffled.
+
+    A table whose keys are each whole number of a range once has no duplicate,
+    and a fact key within its dimension's range has a parent; so bounds and
+    fingerprints of one scan decide. A table or key that they do not clear is
+    counted the long way. With ``deltas`` (a load's new rows, and the folders it
+    found with their key ranges) only new rows are scanned: the old ones were
+    checked when they came, and what remains is that the ranges don't meet.
+    """
+    whole = star.as_dict()
+    scanned = {n: deltas[n].rows if deltas else whole[n] for n in STAR_KEYS}
+    facts, seen = key_facts(scanned, STAR_KEYS)
+    if deltas:
+        facts = {n: f.joined(deltas[n].had) for n, f in facts.items()}
+    known: list[tuple[str, str, int]] = []
+    parts: list[DataFrame] = []
+    for name, keys in STAR_KEYS.items():
+        if facts[name].dense:
+            known.append((name, f"primary key ({keys[0]})", 0))
+        else:
+            parts.append(duplicates(whole[name], name, keys[:1]))
+        known += [(name, f"not null ({c})", seen[name]["rows"] - seen[name][c]["n"]) for c in keys]
+        if name in UNIQUE_KEYS:
+            parts.append(duplicates(whole[name], name, UNIQUE_KEYS[name], "unique"))
+    for key in STAR_KEYS["fact_sales"][1:]:
+        parent, b = f"dim_{key[:-3]}", seen["fact_sales"][key]
+        at = facts[parent]
+        if not b["n"] or (at.dense and at.low is not None and at.low <= b["lo"] and b["hi"] <= at.high):
+            known.append(("fact_sales", f"foreign key ({key}) -> {parent}", 0))
+        else:
+            parts.append(orphans(scanned["fact_sales"], whole[parent], "fact_sales", key, parent))
+    spark = star.fact_sales.sparkSession
+    return [spark.createDataFrame(known, "table_name string, rule string, violations bigint"), *parts]
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -140,13 +224,13 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def audit_constraints(tb: CleanTables | None, star: Star | None) -> DataFrame:
-    """(table_name, rule, violations) for every declared constraint."""
+def audit_constraints(tb: CleanTables | None, star: Star | None, deltas: dict | None = None) -> DataFrame:
+    """(table_name, rule, violations) for every declared constraint; ``deltas`` as in ``audit_star``."""
     parts: list[DataFrame] = []
     if tb is not None:
         parts += audit_clean(tb)
     if star is not None:
-        parts += audit_star(star)
+        parts += audit_star(star, deltas)
     return _union(parts)
 
 

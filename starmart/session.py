@@ -14,7 +14,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # SQL settings applied to sessions this package creates.
 SQL_CONF = {
@@ -93,3 +93,24 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path in the running job's folder, or below the checkpoint root (never reused)."""
     base = _job_folder.get() or f"{checkpoint_root(spark)}/starmart"
     return "/".join([base, *parts, uuid.uuid4().hex])
+
+
+def stage_bucketed(df: DataFrame, by: str, buckets: int) -> DataFrame:
+    """Write ``df`` once to a scratch folder, bucketed by ``by``, and read it back so.
+
+    The table that tells Spark of the buckets is an entry of the session's
+    catalog, in a database for such tables, without files of its own.
+    """
+    spark = df.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS starmart_staged LOCATION '{checkpoint_root(spark)}/starmart/staged'")
+    name = f"starmart_staged.t_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, by).write.bucketBy(buckets, by)
+    dealt.option("path", scratch_path(spark, "bucketed")).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
+def stage_rows(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to a scratch folder and read it back."""
+    path = scratch_path(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

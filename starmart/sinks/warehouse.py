@@ -34,6 +34,7 @@ from __future__ import annotations
 import hashlib
 import time
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +48,8 @@ from starmart.sinks.storage import children, delete_path, path_exists, qualified
 __all__ = ["ConcurrentLoad", "Load", "Warehouse", "delete_path", "path_exists"]
 
 LOAD = "load"  # the partition column that names a folder
+#: By application and external table: folders that are partitions there already. A folder never changes.
+_KNOWN: dict[tuple[str, str], set[str]] = {}
 
 
 class Warehouse:
@@ -172,6 +175,10 @@ class Warehouse:
         """The external table that reads ``name``, with these folders as partitions."""
         shape = hashlib.md5(f"{table.schema}/{table.bucket_by}/{table.buckets}".encode()).hexdigest()[:8]
         source = f"`{self._own}`.`{name}_{shape}`"
+        known = _KNOWN.setdefault((self.spark.sparkContext.applicationId, source), set())
+        folders = tuple(f for f in folders if f.name not in known)
+        if not folders:
+            return source
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self._own}` LOCATION '{self.root}/_catalog'")
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.struct.fields)
         clustered = f"CLUSTERED BY (`{table.bucket_by}`) INTO {table.buckets} BUCKETS" if table.bucket_by else ""
@@ -181,6 +188,7 @@ class Warehouse:
         )
         parts = " ".join(f"PARTITION (`{LOAD}`='{f.name}')" for f in folders)
         self.spark.sql(f"ALTER TABLE {source} ADD IF NOT EXISTS {parts}")
+        known |= {f.name for f in folders}
         return source
 
     def _entry(self, database: str, name: str) -> dict[str, str] | None:
@@ -217,6 +225,14 @@ class Warehouse:
         return sorted(state.tables)
 
 
+@dataclass(frozen=True)
+class Delta:
+    """Rows that a load adds to a table, and the folders it found."""
+
+    rows: DataFrame
+    had: tuple[Folder, ...]
+
+
 class Load:
     """What one load writes, on the version it began from. As a context it commits, or aborts on an error."""
 
@@ -296,6 +312,16 @@ class Load:
         old = self.before.tables.get(name)
         return self.tables[name].rows - (old.rows if old else 0)
 
+    def deltas(self, names) -> dict[str, Delta]:
+        """For each table what this load adds, and the folders that were there."""
+        out = {}
+        for name in names:
+            old = self.before.tables.get(name)
+            had = old.folders if old else ()
+            new = tuple(f for f in self.tables[name].folders if f not in had)
+            out[name] = Delta(self.wh.frame(name, self.tables[name], new), had)
+        return out
+
     def _sweep(self, keep: dict[str, Table]) -> None:
         listed = {(n, f.name) for n, t in keep.items() for f in t.folders}
         for name, folder in self.written:

@@ -154,9 +154,11 @@ def _star(p: str = "", old: str | None = None) -> str:
     seller_sk, date_sk, price, freight_value
   FROM ({lookups}) {known}
 )""",
-            # The snapshot after the load: earlier orders stay.
-            f"{p}df_orders AS (SELECT * FROM {p}tb_orders"
-            + (f" UNION ALL BY NAME SELECT * FROM {old}df_orders WHERE order_id NOT IN (SELECT order_id FROM {p}tb_orders)" if old else "")
+            # The snapshot after the load: the delivery's raw orders under clean ids; earlier orders stay.
+            f"""{p}df_orders AS (
+  SELECT DISTINCT ON (order_id) * FROM (SELECT * REPLACE (array_to_string(string_split(order_id, '-'), '') AS order_id,
+    array_to_string(string_split(customer_id, '-'), '') AS customer_id) FROM {p}raw_orders)"""
+            + (f" UNION ALL BY NAME SELECT * FROM {old}df_orders WHERE order_id NOT IN (SELECT replace(order_id, '-', '') FROM {p}raw_orders)" if old else "")
             + ")",
         ]
     )

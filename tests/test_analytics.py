@@ -8,6 +8,7 @@ import pytest
 from starmart import schemas
 from starmart.plans import analytics
 from starmart.plans.star import Star
+from tests.helpers import ts
 
 
 @pytest.fixture(scope="module")
@@ -94,3 +95,35 @@ def test_monthly_and_top_reports(star):
     assert [tuple(r) for r in analytics.top_items_labelled(star, 2).collect()] == [("item: 2", 5), ("item: 1", 2)]
     delivery = analytics.monthly_delivery_days(star).collect()
     assert [(r.ano_mes, r.total_compras, r.dias_medios_atendimento) for r in delivery][0] == ("2017-01", 2, 0.5)
+
+
+def _star_of_purchases(spark, purchases):
+    """(customer, order time) pairs as a fact and a snapshot of one order each."""
+    fact = [(i, f"o{i}", c, 1, 1, 1, None, None) for i, (c, _) in enumerate(purchases)]
+    orders = [(f"o{i}", "c", "delivered", t, None, None, None, None) for i, (_, t) in enumerate(purchases)]
+    frames = {n: spark.createDataFrame([], s) for n, s in schemas.STAR_SCHEMAS.items()}
+    frames["fact_sales"] = spark.createDataFrame(fact + fact[:2], schemas.FACT_SALES)  # two items of one order
+    return Star(**frames, orders_snapshot=spark.createDataFrame(orders, schemas.RAW_ORDERS))
+
+
+def test_cohorts_over_more_months_than_a_word_holds(spark):
+    import random
+    from collections import Counter
+
+    r = random.Random(7)
+    purchases = [(c, ts(1990 + (m := r.randrange(200)) // 12, m % 12 + 1, 5)) for c in range(40) for _ in range(r.randrange(1, 9))]
+    purchases += [(1, None), (99, None)]  # no time: no month
+    got = {(r.cohort_month, r.month_number): (r.retained_customers, r.cohort_size, r.retention_rate)
+           for r in analytics.cohort_retention(_star_of_purchases(spark, purchases)).collect()}
+    months = {}
+    for c, t in purchases:
+        if t:
+            months.setdefault(c, set()).add(t.year * 12 + t.month - 1)
+    cells = Counter((min(ms), m - min(ms)) for ms in months.values() for m in ms)
+    expected = {(f"{a // 12:04d}-{a % 12 + 1:02d}", d): (n, cells[a, 0], n * 100 / cells[a, 0]) for (a, d), n in cells.items()}
+    assert got == expected and max(d for _, d in got) > 2 * analytics.MONTHS_A_WORD
+
+
+def test_cohorts_of_nothing(spark):
+    assert analytics.cohort_retention(_star_of_purchases(spark, [])).collect() == []
+    assert analytics.cohort_retention(_star_of_purchases(spark, [(1, None)])).collect() == []

@@ -156,18 +156,82 @@ def test_violation_blocks_publishing(spark, tmp_root):
     assert report.violations == 1 and report.published
 
 
+def _star_of(spark, fact_keys, customer_keys, sale_keys=None):
+    from starmart import schemas
+    from starmart.plans.star import Star
+
+    sale_keys = sale_keys or range(1, len(fact_keys) + 1)
+    fact = spark.createDataFrame(
+        [(s, "o", k, 1, 1, 1, None, None) for s, k in zip(sale_keys, fact_keys)], schemas.FACT_SALES
+    )
+    customers = spark.createDataFrame([(k, f"c{i}", None, None, True) for i, k in enumerate(customer_keys)], schemas.DIM_CUSTOMER)
+    one = {n: spark.createDataFrame([(1, *[None] * (len(s.fields) - 1))], s) for n, s in schemas.STAR_SCHEMAS.items()}
+    return Star(**one | {"dim_customer": customers, "fact_sales": fact}, orders_snapshot=None)
+
+
+def _violations(parts):
+    return {(r.table_name, r.rule): r.violations for p in parts for r in p.collect()}
+
+
 def test_key_orphans_range_check_and_fallback(spark):
-    from starmart.plans.quality import key_orphans, orphans
-
-    fact = spark.createDataFrame([(1,), (3,), (5,), (None,), (0,)], "k bigint")
-    dense = spark.createDataFrame([(1,), (2,), (3,), (4,)], "k bigint")
-    gappy = spark.createDataFrame([(1,), (2,), (4,), (5,)], "k bigint")
-    empty = spark.createDataFrame([], "k bigint")
-    for parent in (dense, gappy, empty):
-        fast = key_orphans(fact, parent, "f", "k", "d").first().violations
-        slow = orphans(fact, parent, "f", "k", "d").first().violations
-        assert fast == slow
-    assert key_orphans(fact, dense, "f", "k", "d").first().violations == 2  # 5 and 0
+    from starmart.plans.quality import audit_star, orphans
+
+    for keys in ([1, 2, 3, 4], [1, 2, 4, 5], []):
+        star = _star_of(spark, [1, 3, 5, None, 0], keys)
+        found = _violations(audit_star(star))
+        slow = orphans(star.fact_sales, star.dim_customer, "f", "customer_sk", "d").first().violations
+        assert found["fact_sales", "foreign key (customer_sk) -> dim_customer"] == slow
+        assert found["fact_sales", "not null (customer_sk)"] == 1
+        assert found["fact_sales", "foreign key (date_sk) -> dim_date"] == 0
+    assert slow == 4
+
+
+def test_repeated_keys_that_fill_their_range_are_found(spark):
+    from starmart.plans.quality import audit_star
+
+    # As many as the range has, with its sum and sum of squares: 1, 5, 6 in place of 2, 3, 7.
+    star = _star_of(spark, [1] * 7, [1], sale_keys=[1, 1, 4, 5, 5, 6, 6])
+    assert _violations(audit_star(star))["fact_sales", "primary key (sale_sk)"] == 3
+    star = _star_of(spark, [1] * 4, [1], sale_keys=[2, 3, 4, 5])
+    assert _violations(audit_star(star))["fact_sales", "primary key (sale_sk)"] == 0
+
+
+def test_new_rows_are_checked_against_the_ranges_of_stored_folders(spark):
+    from starmart.plans.quality import STAR_KEYS, audit_star
+    from starmart.sinks.commits import Folder
+    from starmart.sinks.warehouse import Delta
+
+    def audit(sales, had, customers=(4, 5), keys=(5, 1)):
+        # The stored rows are 1 to 3 of each table; only new ones are in these frames.
+        new = _star_of(spark, list(keys), list(customers), sale_keys=sales)
+        old = _star_of(spark, [1, 2, 3], [1, 2, 3])
+        star = type(new)(**{n: f.unionByName(getattr(new, n)) for n, f in old.as_dict().items() if f is not None}, orders_snapshot=None)
+        deltas = {n: Delta(getattr(new, n) if n in ("dim_customer", "fact_sales") else getattr(new, n).limit(0), had if n in ("dim_customer", "fact_sales") else (Folder("x", 1, 1, 1),)) for n in STAR_KEYS}
+        return _violations(audit_star(star, deltas))
+
+    had = (Folder("a", 2, 1, 2), Folder("b", 1, 3, 3))
+    found = audit([4, 5], had)
+    assert found["fact_sales", "primary key (sale_sk)"] == 0
+    assert found["dim_customer", "primary key (customer_sk)"] == 0
+    assert found["fact_sales", "foreign key (customer_sk) -> dim_customer"] == 0
+    assert audit([3, 4], had)["fact_sales", "primary key (sale_sk)"] == 1  # 3 is stored
+    assert audit([4, 5], had, customers=(3, 4))["dim_customer", "primary key (customer_sk)"] == 1
+    assert audit([4, 5], had, keys=(6, 1))["fact_sales", "foreign key (customer_sk) -> dim_customer"] == 1
+
+
+def test_audit_reads_the_fact_once_and_moves_none_of_its_keys(spark, tmp_root):
+    from starmart.plans import quality
+
+    _load(spark, tmp_root)
+    wh = Warehouse(spark, tmp_root)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = quality.audit_constraints(wh.read_clean(), wh.read_star())._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The fact's one scan is in the statistics; what is left reads the clean layer and the dimensions.
+    assert ".fact_sales_" not in plan and "sale_sk" not in plan
+    assert plan.count("FileScan") <= 18 and plan.count("Exchange") <= 23
 
 
 def test_drop_leaves_other_databases_and_roots_alone(spark, tmp_root):

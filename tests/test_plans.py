@@ -57,15 +57,41 @@ def test_top_k_is_take_ordered(star):
     assert "TakeOrderedAndProject" in p and "limit=10" in p
 
 
-def test_cube_shuffles_the_sales_once(star):
-    p = plan(analytics.sales_cube(star, sort=False))
-    assert "Expand" not in p
+def exchanges(df) -> list[str]:
+    return [x for x in plan(df).split("\n") if "Exchange" in x]
 
 
-def test_cube_sums_sales_before_it_moves_them(star):
-    lines = plan(analytics.sales_cube(star, sort=False)).split("\n")
-    below = [lines[i + 1] for i, x in enumerate(lines) if "REPARTITION_BY_COL" in x]
-    assert below and all("HashAggregate" in x for x in below)
+def test_cube_moves_no_cell_that_has_a_product(spark, star):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cube = analytics.sales_cube(star, sort=False)
+        found = exchanges(cube)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Expand" not in plan(cube)
+    # Eight sets are sums within the buckets of the written cells; seven of the others move sums of sellers' months.
+    assert not [x for x in found if "product_sk" in x]
+    assert plan(cube).count("Bucketed: true") == 7 and len(found) <= 11
+
+
+def test_cube_cells_are_summed_before_they_are_moved(spark, star):
+    sales = star.fact_sales.groupBy("seller_sk", "product_sk", "date_sk").agg({"price": "sum"})
+    lines = plan(sales).split("\n")
+    (at,) = [i for i, x in enumerate(lines) if "Exchange" in x]
+    assert "partial_sum" in lines[at + 1]
+    cells = analytics.cube_cells(star)
+    assert cells.groupBy("product_sk", "year").count().rdd.getNumPartitions() == 8  # the buckets, in place
+    assert not exchanges(cells.groupBy("product_sk", "year").count())
+
+
+def test_cohorts_move_customers_once_and_build_their_cells_once(spark, star):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = exchanges(analytics.cohort_retention(star))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # customers; cells; cells by cohort; the order of the report
+    assert len(found) == 4 and sum("customer_sk" in x for x in found) == 1
 
 
 def test_reports_aggregate_the_fact_before_joining_dimensions(star):
