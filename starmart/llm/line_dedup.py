@@ -2,8 +2,9 @@
 
 Lines of a page's text are counted per host (once a page); a line's count
 divided by the host's pages is its share, and lines whose share is over
-``ratio`` are boilerplate and dropped from that host's pages. Hosts with fewer
-than ``min_pages`` pages tell nothing about shares and keep all lines.
+``ratio`` are boilerplate and dropped from that host's pages. A line that
+stands on one page alone is no boilerplate, whatever its share; beyond that the
+ratio decides for hosts of every size.
 
 What is counted is (host, MD5 of the line), summed before it is shuffled. A
 host's boilerplate has at most (its lines per page / ratio) entries, so it
@@ -49,7 +50,6 @@ def host_of(url: Column) -> Column:
 def drop_boilerplate(
     pages: DataFrame,
     ratio: float = 0.3,
-    min_pages: int = 5,
     id_col: str = "page_id",
     url_col: str = "url",
     html_col: str = "html",
@@ -64,9 +64,9 @@ def drop_boilerplate(
     )
     hosts = stage(cut.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")))
     seen = cut.select("host", F.explode(F.transform(F.array_distinct("lines"), lambda x: F.md5(x))).alias("line"))
-    # A boilerplate line is on more than ratio * min_pages pages at least.
-    counts = seen.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > F.lit(ratio * min_pages))
-    often = counts.join(hosts.where(F.col("host_pages") >= min_pages), "host")
+    # Most lines stand on one page and go here, before the join.
+    counts = seen.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    often = counts.join(hosts, "host")
     often = often.where(F.col("n") > F.lit(ratio) * F.col("host_pages"))
     by_host = often.groupBy("host").agg(F.collect_list("line").alias("often"))
     right = stage(hosts.join(by_host, "host", "left"))

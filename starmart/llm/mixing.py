@@ -12,8 +12,9 @@ the range that holds the cut, and only that range is ordered. Decisions are
 one row a source: whole repetitions and the hash where the sample ends.
 
 Defined results: a null text has size 0; null is a source of its own; a
-source of size 0 has target 0; repeated rows share their hash and are taken
-or left together; an empty table gives an empty table; only the columns named
+source of size 0 has target 0 and is not taken; no document, empty ones
+included, is taken more than ``max_epochs`` times; repeated rows share their
+hash and are taken or left together; an empty table gives an empty table; only the columns named
 are read. All of it is DataFrame functions; figures that decide are whole
 numbers, so a rerun gives the same.
 """
@@ -106,8 +107,8 @@ def plan(rows: DataFrame, weigh, share_percent: int, max_epochs: int) -> DataFra
     sums_upto = ranges.withColumn("upto", F.sum("size").over(upto)).withColumn("before", F.col("upto") - F.col("size"))
     right = targets.select(F.col("source").alias("__s"), "rest")
     cut_in = sums_upto.join(right, F.col("source").eqNullSafe(F.col("__s")))
-    # The first range that the rest ends in; none if it takes every document.
-    first = cut_in.where("upto > rest").groupBy("__s").agg(F.min(F.struct("bucket", "before", "rest")).alias("x"))
+    # The first range that the rest ends in; none if it takes every document, or none of them.
+    first = cut_in.where("upto > rest and rest > 0").groupBy("__s").agg(F.min(F.struct("bucket", "before", "rest")).alias("x"))
     first = stage(first.select("__s", "x.*"))
     here = rows.withColumn("bucket", bucket).withColumnRenamed("bucket", "__b")
     inside = here.join(first, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__b") == F.col("bucket")))

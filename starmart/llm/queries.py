@@ -100,7 +100,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    folder, manifest = wavelet.write_shards(_documents(spark, sf_dir), path, end_id=0, added_tokens=True)
+    folder, manifest = wavelet.write_shards(_documents(spark, sf_dir), path, end_id=0)
     return wavelet.read_shards(spark, folder, manifest)
 
 
@@ -151,12 +151,15 @@ QUERIES = {
 _WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLE_SQL = {
+    # Patterns, ratio and the least number of pages are stated anew here, in another form than the operator's.
     "op1_line_dedup": rf"""
 WITH p AS (
-  SELECT row_number() OVER () AS r, page_id,
-         lower(regexp_extract(coalesce(url, ''), '{line_dedup.HOST}', 1)) AS host,
+  SELECT row_number() OVER () AS r, page_id, lower(coalesce(nullif(regexp_extract(coalesce(url, ''),
+           '^[a-zA-Z][-a-zA-Z0-9+.]*://([^#?/@]*@)?([^#?/:]*)', 2), ''), '')) AS host,
          regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
-             '{line_dedup.HIDDEN}', chr(10), 'g'), '{line_dedup.BREAKS}', chr(10), 'g'), '{line_dedup.TAGS}', '', 'g') AS t
+           '(?is:<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<head\b.*?</head\s*>)', chr(10), 'g'),
+           '(?i)</?(a(rticle|side)|b(r|ody)|div|footer|h([1-6]|eader|tml)|li|main|nav|[ou]l|p|section|t(able|d|h|itle|r))\b[^>]*>',
+           chr(10), 'g'), '<[^>]*>', '', 'g') AS t
   FROM pages),
 c AS (
   SELECT r, page_id, host, count(*) OVER (PARTITION BY host) AS host_pages,
@@ -165,7 +168,7 @@ c AS (
 u AS (SELECT DISTINCT r, host, host_pages, unnest(lines) AS line FROM c),
 often AS (
   SELECT host, line FROM u GROUP BY host, line, host_pages
-  HAVING host_pages >= 5 AND count(*) > 0.3::DOUBLE * host_pages),
+  HAVING count(*) >= 2 AND count(*) > 0.3::DOUBLE * host_pages),
 bad AS (SELECT host, list(line) AS b FROM often GROUP BY host),
 k AS (
   SELECT c.*, list_filter(lines, lambda x: NOT list_contains(coalesce(b, []), x)) AS kept

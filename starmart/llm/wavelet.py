@@ -2,8 +2,10 @@
 
 ``WaveletMatrix`` keeps a sequence of ids as bit planes, highest bit first;
 each plane is in the order that the planes above give (zeros before ones). A
-rank directory on each plane answers access, count (rank) and occurrence
-lookup (select) with one or two steps a plane, without unpacking the rest.
+directory of the ones before every block of a plane, made when the plane is
+first asked, answers access and count (rank) with one or two steps down each
+plane, and occurrence lookup (select) with the same way down and one search of
+a directory a plane on the way up.
 
 ``write_shards`` encodes documents, deals them to shards by ranges of the id,
 sorts each shard and writes its files, each of about ``TOKENS_PER_FILE`` ids,
@@ -17,13 +19,13 @@ end id, so an empty one has that alone; null ids come first; documents of one
 id are ordered by the crc of their ids; an empty table gives no file and an
 empty result; columns other than the two named are not read. Documents are in
 ascending id order over the files in name order. Ids are under ``2 ** 16``.
-With ``added_tokens``, strings of the tokenizer's added tokens (as
-``<|endoftext|>``) get their ids, as ``Tokenizer.encode`` does; without, they
-are ordinary text.
+Strings of the tokenizer's added tokens (as ``<|endoftext|>``) get their ids, as
+``Tokenizer.encode`` gives them.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import uuid
@@ -76,19 +78,33 @@ class WaveletMatrix:
             x = up
         return x
 
-    def _rank1(self, level: int, i: int) -> int:
-        """Ones among the first ``i`` bits of a plane."""
-        plane = self.planes[level]
+    def _directory(self, level: int) -> np.ndarray:
+        """Ones before every block of a plane, and all of them."""
         if self._ones[level] is None:
-            counts = np.bitwise_count(plane).astype(np.int64)
+            counts = np.bitwise_count(self.planes[level]).astype(np.int64)
             sums = np.add.reduceat(counts, np.arange(0, counts.size, _BLOCK // 8)) if counts.size else counts
             self._ones[level] = np.concatenate(([0], np.cumsum(sums)))
+        return self._ones[level]
+
+    def _rank1(self, level: int, i: int) -> int:
+        """Ones among the first ``i`` bits of a plane."""
+        plane = self.planes[level]
         block, rest = divmod(i, _BLOCK)
         at = block * (_BLOCK // 8)
         whole, odd = divmod(rest, 8)
-        n = int(self._ones[level][block]) + int(np.bitwise_count(plane[at : at + whole]).sum())
+        n = int(self._directory(level)[block]) + int(np.bitwise_count(plane[at : at + whole]).sum())
         return n + (int(plane[at + whole]) & ((1 << odd) - 1)).bit_count() if odd else n
 
+    def _select(self, level: int, bit: int, j: int) -> int:
+        """The place of the ``j``-th (from 0) one, or zero, of a plane."""
+        before = self._directory(level)
+        if not bit:
+            before = np.arange(before.size) * _BLOCK - before
+        block = int(np.searchsorted(before, j, "right")) - 1
+        at = block * (_BLOCK // 8)
+        bits = np.unpackbits(self.planes[level][at : at + _BLOCK // 8], bitorder="little")
+        return block * _BLOCK + int(np.flatnonzero(bits == bit)[j - int(before[block])])
+
     def access(self, i: int) -> int:
         """The id at place ``i``."""
         if not 0 <= i < self.size:
@@ -101,29 +117,32 @@ class WaveletMatrix:
             i = self.zeros[level] + ones if bit else i - ones
         return value
 
-    def count(self, value: int, i: int | None = None) -> int:
-        """How often ``value`` stands among the first ``i`` ids (all)."""
-        a, b = 0, self.size if i is None else min(max(i, 0), self.size)
+    def _range(self, value: int, i: int) -> tuple[int, int]:
+        """Where ``value``'s occurrences among the first ``i`` ids stand below the last plane."""
+        a, b = 0, min(max(i, 0), self.size)
         for level in range(LEVELS):
             ones_a, ones_b = self._rank1(level, a), self._rank1(level, b)
             if value >> (LEVELS - 1 - level) & 1:
                 a, b = self.zeros[level] + ones_a, self.zeros[level] + ones_b
             else:
                 a, b = a - ones_a, b - ones_b
+        return a, b
+
+    def count(self, value: int, i: int | None = None) -> int:
+        """How often ``value`` stands among the first ``i`` ids (all)."""
+        a, b = self._range(value, self.size if i is None else i)
         return b - a
 
     def occurrence(self, value: int, k: int) -> int:
         """The place of the ``k``-th (from 0) ``value``; -1 if there are fewer."""
-        if k < 0 or k >= self.count(value):
+        a, b = self._range(value, self.size)
+        if not 0 <= k < b - a:
             return -1
-        low, high = 0, self.size  # the least i with k + 1 among the first i
-        while low < high:
-            mid = (low + high) // 2
-            if self.count(value, mid) > k:
-                high = mid
-            else:
-                low = mid + 1
-        return low - 1
+        i = a + k
+        for level in range(LEVELS - 1, -1, -1):
+            bit = value >> (LEVELS - 1 - level) & 1
+            i = self._select(level, bit, i - self.zeros[level] if bit else i)
+        return i
 
 
 def _section(raw: bytes) -> bytes:
@@ -165,47 +184,80 @@ def _byte_letters() -> dict[int, str]:
     return {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
 
 
-def _library_encoder(path: str, added_tokens: bool) -> Callable[[str], bytes]:
-    """Pre-tokens go to the library's model, without the bookkeeping of offsets of ``Tokenizer.encode``.
+#: What the file must say of cutting texts into pre-tokens for ``public_tokenizers.PATTERN`` to be the same.
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+#: ASCII marks that stand behind a word as one pre-token of their own, or together as one; not the apostrophe.
+_MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+
+
+class WordEncoder(Encoder):
+    """``Encoder`` for the pattern that byte-level vocabularies share: most words need no pattern to be cut.
 
-    With ``added_tokens``, a text that holds the string of one goes to
-    ``Tokenizer.encode`` whole.
+    Letters are one pre-token with the space before them, marks behind them
+    another; a single line end between two such words is one alone.
+    """
+
+    def _word(self, word: str) -> bytes:
+        if word.isalpha():
+            return self.encode(" " + word)
+        core = word.rstrip(_MARKS)
+        if core.isalpha():
+            return self.words[core] + self.pretokens[word[len(core) :]]
+        left, end, right = word.partition("\n")
+        core = right.rstrip(_MARKS)
+        if end and left and core.isalpha() and not left[-1].isspace():
+            head = self.words[left]
+            if head:
+                marks = right[len(core) :]
+                return head + self.pretokens[end] + self.pretokens[core] + (self.pretokens[marks] if marks else b"")
+        return super()._word(word)
+
+
+def library_encoder(path: str) -> Callable[[str], bytes]:
+    """What ``Tokenizer.encode`` gives, as packed 16-bit ids, without its bookkeeping of offsets.
+
+    Words go to the library's model, and are remembered. A text that holds the
+    string of an added token goes to ``Tokenizer.encode`` whole.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     import public_tokenizers
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(path)
+    if json.loads(library.to_str())["pre_tokenizer"] != _BYTE_LEVEL:
+        raise ValueError(f"{path} does not cut texts as byte-level vocabularies do")
     tokenize, letters = library.model.tokenize, _byte_letters()
-    plain = Encoder(
-        public_tokenizers.PATTERN,
-        lambda token: [t.id for t in tokenize(token.encode().decode("latin-1").translate(letters))],
-        "H",
-    )
-    added = [t.content for t in library.get_added_tokens_decoder().values()] if added_tokens else []
+
+    def ids(token: str) -> list[int]:
+        if token.isascii() and token.isprintable():
+            token = token.replace(" ", letters[32])
+        else:
+            token = token.encode().decode("latin-1").translate(letters)
+        return [t.id for t in tokenize(token)]
+
+    plain = WordEncoder(public_tokenizers.PATTERN, ids, "H")
+    added = [t.content for t in library.get_added_tokens_decoder().values()]
 
     def encode(text: str) -> bytes:
         if any(a in text for a in added):
             return array("H", library.encode(text, add_special_tokens=False).ids).tobytes()
         return plain(text)
 
-    return encode if added else plain
+    return encode
 
 
 #: Of this worker process.
-_ENCODERS: dict[tuple[str, bool], Callable[[str], bytes]] = {}
+_ENCODERS: dict[str, Callable[[str], bytes]] = {}
 
 
-def encoded(
-    docs: DataFrame, path: str, bounds: list[int], end_id: int, id_col: str, text_col: str, added_tokens: bool = False
-) -> DataFrame:
+def encoded(docs: DataFrame, path: str, bounds: list[int], end_id: int, id_col: str, text_col: str) -> DataFrame:
     """``(shard, doc_id, crc, ids)``: ids with the end id, little-endian unsigned 16 bit."""
     cuts, end = np.array(bounds, np.int64), struct.pack("<H", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (path, added_tokens) not in _ENCODERS:
-            _ENCODERS[path, added_tokens] = _library_encoder(path, added_tokens)
-        encode = _ENCODERS[path, added_tokens]
+        if path not in _ENCODERS:
+            _ENCODERS[path] = library_encoder(path)
+        encode = _ENCODERS[path]
         for batch in batches:
             ids = [
                 (encode(t.as_buffer().to_pybytes().decode("utf-8", "replace")) if t.is_valid else b"") + end
@@ -227,10 +279,8 @@ def _writer(folder: str, tokens_per_file: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        files, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (
-            fs.LocalFileSystem(),
-            folder,
-        )
+        # The folder has its scheme: a store that is not reached raises here, and no task writes to its own disk.
+        files, root = fs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
         shard, seq, held, ids, size = None, 0, [], [], 0
 
         def close() -> dict:
@@ -283,7 +333,6 @@ def write_shards(
     id_col: str = "doc_id",
     text_col: str = "text",
     tokens_per_file: int = TOKENS_PER_FILE,
-    added_tokens: bool = False,
 ) -> tuple[str, DataFrame]:
     """Writes the files to a fresh shared folder: ``(folder, manifest)``.
 
@@ -295,10 +344,11 @@ def write_shards(
     n = shuffle_partitions(spark)
     known = docs.select(F.col(id_col).cast("long").alias("k"))
     cuts = known.agg(F.percentile_approx("k", [i / n for i in range(1, n)], 100 * n)).first()[0] if n > 1 else []
-    rows = encoded(docs, path, sorted(set(cuts or [])), end_id, id_col, text_col, added_tokens)
-    folder = shared_folder(spark)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hadoop)
+    rows = encoded(docs, path, sorted(set(cuts or [])), end_id, id_col, text_col)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    store = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(hadoop)
+    folder = store.makeQualified(hadoop).toString()
     order = ["shard", F.col("doc_id").asc_nulls_first(), "crc"]
     made = rows.repartitionById(n, F.col("shard")).sortWithinPartitions(*order)
     manifest = stage(

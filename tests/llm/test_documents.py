@@ -264,6 +264,18 @@ def test_mix_targets_and_taken(request, table):
     assert ids == +copies
 
 
+def test_no_document_is_mixed_beyond_the_cap(spark):
+    rows = [(i, "", "a") for i in range(200)] + [(200, "ten words " * 5, "a"), (201, None, "a")]
+    rows += [(300 + i, f"word{i} " * 40, "b") for i in range(30)] + [(400 + i, None, "c") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    mixed = mixing.mix(df, share_percent=150, max_epochs=2).collect()
+    assert max(r.copies for r in mixed) == 2 and len(mixed) == len(rows)
+    assert {r.copies for r in mixed if r.source == "a"} == {2}  # at its cap: twice, and none a third time
+    assert {r.copies for r in mixed if r.source == "c"} == {0}  # a source without words
+    taken = Counter(r.doc_id for r in mixing.mixed_documents(df, share_percent=150, max_epochs=2).collect())
+    assert taken == +Counter({r.doc_id: r.copies for r in mixed})
+
+
 @pytest.mark.parametrize("table", ["edge", "given"])
 def test_wavelet_files_are_the_library(request, spark, table):
     import zlib
@@ -271,7 +283,6 @@ def test_wavelet_files_are_the_library(request, spark, table):
     from tokenizers import Tokenizer
 
     lib = Tokenizer.from_file(LIBRARY)
-    lib.encode_special_tokens = True
     df = request.getfixturevalue(table)
     coded = []
     for d, t in pairs(df):
@@ -304,6 +315,18 @@ def test_wavelet_query_knows_added_tokens(spark, tmp_path):
     assert bag(queries.op9_wavelet(spark, str(tmp_path)).collect()) == bag(wanted)
 
 
+def test_wavelet_words_are_cut_as_the_library_cuts_them():
+    from tokenizers import Tokenizer
+
+    lib, encode = Tokenizer.from_file(LIBRARY), wavelet.library_encoder(LIBRARY)
+    r = random.Random(11)
+    letters = ["a", "Word", "über", "東京", "²", "٣", "9", "e\u0301", ".", ",", "'s", "'", "it's", "#", "_", "…", "!?", "(", "\n", "\n\n", "\r\n", " ", "  ", "\t", "\x1c", "\xa0", "\u3000", "😀", "<|endoftext|>"]
+    texts = ["".join(r.choice(letters) for _ in range(r.randrange(1, 14))) for _ in range(6000)]
+    texts += [f"{a}{b}{c}{d}" for a in letters for b in ("\n", ".\n", "\n.") for c in letters for d in ("", ",", " x")]
+    for t in texts:
+        assert np.frombuffer(encode(t), np.uint16).tolist() == lib.encode(t, add_special_tokens=False).ids, repr(t)
+
+
 def test_wavelet_access_count_and_occurrence():
     r = np.random.default_rng(2)
     for ids in (r.integers(0, 50257, 3000), r.integers(0, 5, 2000), np.zeros(9, int), np.zeros(0, int)):
@@ -314,7 +337,8 @@ def test_wavelet_access_count_and_occurrence():
             where = np.flatnonzero(ids == v)
             assert m.access(i) == v and m.count(v) == where.size
             assert m.count(v, i) == (where < i).sum()
-            assert m.occurrence(v, where.size // 2) == where[where.size // 2] and m.occurrence(v, where.size) == -1
+            assert [m.occurrence(v, k) for k in (0, where.size // 2, where.size - 1)] == [where[k] for k in (0, where.size // 2, -1)]
+            assert m.occurrence(v, where.size) == -1 == m.occurrence(v, -1)
         assert m.count(60000) == 0
 
 
