@@ -190,6 +190,32 @@ _BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": T
 _MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 
 
+#: Words that a worker remembers at most; then it starts anew.
+REMEMBERED_WORDS = 800_000
+
+
+class _Words(dict):
+    """Ids of words with a space before them: those of letters alone are remembered, others put together from them."""
+
+    def __init__(self, letters: Callable[[str], bytes], marks: dict[str, bytes], other: Callable[[str], bytes]):
+        super().__init__()
+        self.letters, self.marks, self.other = letters, marks, other
+
+    def __missing__(self, word: str) -> bytes:
+        if word.isalpha():
+            found = self.letters(" " + word)
+            if len(word) <= 64:
+                if len(self) >= REMEMBERED_WORDS:
+                    self.clear()
+                self[word] = found
+            return found
+        # One mark behind a word that is known: the most frequent of the others.
+        mark, word_alone = word[-1:], word[:-1]
+        if word_alone in self and mark in self.marks:
+            return self[word_alone] + self.marks[mark]
+        return self.other(word)
+
+
 class WordEncoder(Encoder):
     """``Encoder`` for the pattern that byte-level vocabularies share: most words need no pattern to be cut.
 
@@ -197,9 +223,11 @@ class WordEncoder(Encoder):
     another; a single line end between two such words is one alone.
     """
 
-    def _word(self, word: str) -> bytes:
-        if word.isalpha():
-            return self.encode(" " + word)
+    def __init__(self, pattern: str, encode, code: str = "I"):
+        super().__init__(pattern, encode, code)
+        self.words = _Words(self.encode, {m: self.pretokens[m] for m in _MARKS}, self._put_together)
+
+    def _put_together(self, word: str) -> bytes:
         core = word.rstrip(_MARKS)
         if core.isalpha():
             return self.words[core] + self.pretokens[word[len(core) :]]
@@ -210,7 +238,7 @@ class WordEncoder(Encoder):
             if head:
                 marks = right[len(core) :]
                 return head + self.pretokens[end] + self.pretokens[core] + (self.pretokens[marks] if marks else b"")
-        return super()._word(word)
+        return self._word(word)
 
 
 def library_encoder(path: str) -> Callable[[str], bytes]:
@@ -228,9 +256,11 @@ def library_encoder(path: str) -> Callable[[str], bytes]:
         raise ValueError(f"{path} does not cut texts as byte-level vocabularies do")
     tokenize, letters = library.model.tokenize, _byte_letters()
 
+    space = letters[32]
+
     def ids(token: str) -> list[int]:
         if token.isascii() and token.isprintable():
-            token = token.replace(" ", letters[32])
+            token = token.replace(" ", space)
         else:
             token = token.encode().decode("latin-1").translate(letters)
         return [t.id for t in tokenize(token)]
