@@ -151,42 +151,50 @@ def run_load(
 
 
 def main(argv: list[str] | None = None) -> int:
-    """``python -m starmart.load --warehouse PATH (--csv DIR | --testdata DIR)``."""
+    """``python -m starmart.load --warehouse PATH (--csv DIR | --testdata DIR) [--profile DIR] [--dump DIR]``."""
     import argparse
     import json
+    from dataclasses import asdict
 
+    from starmart.job import run_job
     from starmart.session import build_session
 
-    ap = argparse.ArgumentParser(description="Load the star schema (rerun-safe).")
+    ap = argparse.ArgumentParser(description="Load the star schema (rerun-safe), validate, profile and dump it.")
     ap.add_argument("--warehouse", required=True, help="warehouse root (shared storage)")
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--csv", help="folder with the five source CSV files")
     src.add_argument("--testdata", help="folder with the TPC-H-like test tables")
+    ap.add_argument("--one-line-records", action="store_true", help="no line ends in CSV fields: split large files")
+    ap.add_argument("--rejects", choices=("fail", "keep"), help="count CSV records that don't fit before failing, or leave them out")
     ap.add_argument("--load-date", help="effective date of new customers (default: today)")
     ap.add_argument("--keep-intermediate", action="store_true")
     ap.add_argument("--lenient", action="store_true", help="publish even when the audit finds violations")
+    ap.add_argument("--profile", help="folder for the table profile (CSV)")
+    ap.add_argument("--dump", help="folder for the INSERT dump")
     args = ap.parse_args(argv)
 
     spark = build_session()
     if args.csv:
         from starmart.sources.csv import read_sources
 
-        raw = read_sources(spark, args.csv)
+        raw = read_sources(spark, args.csv, multiline=not args.one_line_records, rejects=args.rejects)
     else:
         from starmart.sources.testdata import load_testdata
 
         raw = load_testdata(spark, args.testdata)
-    report = run_load(
+    report = run_job(
         spark,
         raw,
         args.warehouse,
+        profile_dir=args.profile,
+        dump_dir=args.dump,
+        keep_intermediate=args.keep_intermediate,
         load_date=args.load_date,
         stage_inputs=bool(args.csv),
-        keep_intermediate=args.keep_intermediate,
         raise_on_violation=not args.lenient,
     )
-    print(json.dumps({"added": report.added, "violations": report.violations, "published": report.published}))
-    return 0
+    print(json.dumps(asdict(report), default=str))
+    return 1 if report.errors else 0
 
 
 if __name__ == "__main__":

@@ -263,9 +263,13 @@ def top_customers(star: Star, k: int = 10) -> DataFrame:
 # --- G-4 -------------------------------------------------------------------
 def monthly_delivery_days(star: Star) -> DataFrame:
     """Delivered orders per purchase month and their mean delivery time (days)."""
-    o = star.orders_snapshot
+    return delivery_days(star.orders_snapshot)
+
+
+def delivery_days(orders: DataFrame) -> DataFrame:
+    """``monthly_delivery_days`` over any snapshot of orders with typed times."""
     return (
-        o.where((F.col("order_status") == dv.STATUS_DELIVERED) & F.col("order_delivered_customer_date").isNotNull())
+        orders.where((F.col("order_status") == dv.STATUS_DELIVERED) & F.col("order_delivered_customer_date").isNotNull())
         .groupBy(year_month("order_purchase_timestamp").alias("ano_mes"))
         .agg(
             F.count("order_id").alias("total_compras"),
@@ -321,3 +325,8 @@ def with_period(df: DataFrame) -> DataFrame:
     if {"year", "month"} <= set(df.columns):
         return df.withColumn("periodo", make_period("year", "month"))
     return df
+
+
+def preview(report: DataFrame, n: int = 5) -> DataFrame:
+    """The first rows of an ordered report: a top-n kept in each task, no full sort."""
+    return report.limit(n)

@@ -17,16 +17,19 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart import schemas
 from starmart.load import run_load
-from starmart.plans import analytics, dims, quality
+from starmart.plans import analytics, clean, dims, quality
 from starmart.plans.star import CleanTables, Star, build_star, clean_all
 from starmart.session import scratch_path
 from starmart.sinks import export
 from starmart.sinks.warehouse import Warehouse
+from starmart.sources import csv
 from starmart.sources.raw import RawSources
 from starmart.sources.testdata import load_testdata
 
@@ -90,6 +93,55 @@ def _after_both(fn) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf: fn(twice_loaded(spark, sf))
 
 
+def csv_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The five inputs of ``sf_dir`` as folders of CSV files (written on first use)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/") + "#csv")
+    with _lock:
+        if key not in _built:
+            root = scratch_path(spark, "csv")
+            for name, df in load_testdata(spark, sf_dir).as_dict().items():
+                df.write.option("header", True).option("escape", '"').csv(f"{root}/{csv.FILE_NAMES[name]}")
+            _built[key] = root
+        return _built[key]
+
+
+def _from_csv(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = f"{csv_folder(spark, sf_dir)}/{csv.FILE_NAMES[name]}"
+        found = csv.read_with_rejects(spark, path, schemas.RAW_SCHEMAS[name], multiline=False)
+        if not found.rejects.isEmpty():
+            raise csv.RejectedRecords(path)
+        return found.rows
+
+    return query
+
+
+def text_delivery_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivery days over a snapshot whose times are text, as the raw files have them."""
+    orders = csv.text_orders(spark, f"{csv_folder(spark, sf_dir)}/{csv.FILE_NAMES['orders']}", multiline=False)
+    return analytics.delivery_days(clean.snapshot_orders(csv.typed_orders(orders)))
+
+
+def catalog_monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over unqualified names, which resolve in the registered default database."""
+    Warehouse(spark, warehouse_root(spark, sf_dir)).register("analytics", use=False)
+    before = spark.catalog.currentDatabase()
+    spark.catalog.setCurrentDatabase("analytics")
+    try:
+        return spark.sql(
+            "SELECT year, month, CAST(SUM(price + freight_value) AS DECIMAL(38,2)) AS total_vendas "
+            "FROM fact_sales JOIN dim_date USING (date_sk) GROUP BY year, month"
+        )
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
+def profile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = Warehouse(spark, warehouse_root(spark, sf_dir))
+    names = (*schemas.STAR_ORDER, wh.SNAPSHOT)
+    return export.profile_report(spark, {n: partial(wh.read, n) for n in names})
+
+
 def _raw(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf: getattr(load_testdata(spark, sf), name)
 
@@ -130,6 +182,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "staging_customers": _raw("customers"),
     "staging_products": _raw("products"),
     "staging_sellers": _raw("sellers"),
+    # the same five as CSV files, split and checked record by record
+    "csv_orders": _from_csv("orders"),
+    "csv_items": _from_csv("items"),
+    "csv_customers": _from_csv("customers"),
+    "csv_products": _from_csv("products"),
+    "csv_sellers": _from_csv("sellers"),
+    "text_delivery_days": text_delivery_days,
+    # the catalog, the chart date and the preview
+    "catalog_monthly_revenue": catalog_monthly_revenue,
+    "monthly_revenue_period": _on_star(lambda star: analytics.with_period(analytics.monthly_revenue(star))),
+    "monthly_revenue_preview": _on_star(lambda star: analytics.preview(analytics.monthly_revenue(star))),
+    "table_profile_report": profile_report,
     # load steps, planned from the raw tables
     "clean_customers": lambda spark, sf: _clean(spark, sf).customers,
     "clean_sellers": lambda spark, sf: _clean(spark, sf).sellers,

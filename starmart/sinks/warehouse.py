@@ -206,7 +206,7 @@ class Warehouse:
     def register(self, database: str = "analytics", use: bool = True) -> list[str]:
         """Expose every table as the view ``database.table``, as of the latest version."""
         self.database = database
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root}/_catalog'")
         state = self.state()
         for name, table in sorted(state.tables.items()):
             entry = self._entry(database, name)

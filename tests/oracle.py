@@ -409,6 +409,18 @@ _BODIES["table_profile"] = "\nUNION ALL\n".join(
     + [_profile_part("orders_snapshot", "df_orders", _SNAPSHOT_COLUMNS)]
 )
 
+for _name in ("orders", "items", "customers", "products", "sellers"):
+    _BODIES[f"csv_{_name}"] = _BODIES[f"staging_{_name}"]  # written as CSV and read back, they are what they were
+_BODIES["text_delivery_days"] = _BODIES["monthly_delivery_days"]
+_BODIES["catalog_monthly_revenue"] = "SELECT year, month, CAST(sum(revenue) AS DECIMAL(38,2)) AS total_vendas FROM sale GROUP BY ALL"
+_BODIES["monthly_revenue_period"] = (
+    "SELECT year, month, CAST(sum(revenue) AS DECIMAL(38,2)) AS total_vendas, make_date(year, month, 1) AS periodo FROM sale GROUP BY ALL"
+)
+_BODIES["monthly_revenue_preview"] = f"SELECT * FROM ({_BODIES['catalog_monthly_revenue']}) QUALIFY row_number() OVER (ORDER BY year, month) <= 5"
+_BODIES["table_profile_report"] = (
+    "SELECT tablename, CAST(record_count AS VARCHAR) AS record_count, columns_list FROM (" + _BODIES["table_profile"] + ")"
+)
+
 # Two loads: an early, partial delivery, then everything (registry._batches).
 _DAY = "TIMESTAMP '1995-06-01'"
 _FIRST_BATCH = f"""one_raw_customers AS (SELECT * FROM raw_customers WHERE right(customer_id, 1) <> '7'),

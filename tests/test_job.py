@@ -1,0 +1,155 @@
+"""The whole job from CSV to dump; rejects, text times, broken tables and a dump that replays."""
+
+import os
+
+import duckdb
+import pytest
+
+from starmart import schemas
+from starmart.job import JobReport, run_job, validate
+from starmart.load import LoadReport
+from starmart.plans import analytics
+from starmart.sinks import export
+from starmart.sinks.warehouse import Warehouse
+from starmart.sources import csv
+from tests.helpers import customer, item, order, product, raw, seller, ts
+
+SELLERS = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+ORDERS = ",".join(schemas.RAW_ORDERS.fieldNames()) + "\n"
+
+
+def inputs(spark):
+    return raw(
+        spark,
+        customers=[customer("c-1", city="d'Oeste"), customer("c-2")],
+        sellers=[seller("s-1")],
+        products=[product("p'1"), product("p-2")],
+        orders=[order("o-1", "c-1", purchase=ts(2017, 1, 1), delivered=ts(2017, 1, 2)), order("o'2", "c-2", purchase=ts(2017, 1, 3))],
+        items=[item("o-1", 1, "p'1", "s-1"), item("o'2", 1, "p-2", "s-1", price="0.07", freight="3.10")],
+    )
+
+
+@pytest.fixture(scope="module")
+def done(spark, tmp_path_factory):
+    """The job's report, its warehouse and its output folder."""
+    base = str(tmp_path_factory.mktemp("job"))
+    for name, df in inputs(spark).as_dict().items():
+        df.write.option("header", True).option("escape", '"').csv(f"{base}/in/{csv.FILE_NAMES[name]}")
+    sources = csv.read_sources(spark, f"{base}/in", rejects="fail")
+    report = run_job(
+        spark, sources, f"{base}/wh", profile_dir=f"{base}/out/profile", dump_dir=f"{base}/out/dump", load_date="2024-01-01"
+    )
+    return report, Warehouse(spark, f"{base}/wh"), f"{base}/out"
+
+
+def test_job_from_csv_to_dump(done):
+    report, wh, out = done
+    assert report.load.published and report.load.violations == 0 and report.errors == {}
+    assert [r["total_registros"] for r in report.validations["validate_counts"]] == [2, 2, 2]
+    assert all(r["qtd_erros"] == 0 for r in report.validations["validate_null_keys"])
+    assert len({r["valor_total"] for r in report.validations["validate_price_sum"]}) == 1
+    assert {r["tablename"]: r["record_count"] for r in report.profile} == {
+        "dim_customer": "2", "dim_product": "2", "dim_seller": "1", "dim_date": "3", "fact_sales": "2", "orders_snapshot": "2"
+    }
+    assert not wh.exists("tb_orders") and not os.path.exists(wh.path("tmp_orders"))
+    assert [os.path.basename(p) for p in report.dump] == [
+        "00_begin", "01_dim_customer", "02_dim_product", "03_dim_seller", "04_dim_date", "05_fact_sales", "06_commit"
+    ]
+
+
+def test_dump_replays_into_equal_tables(spark, done):
+    _, wh, out = done
+    con = duckdb.connect()
+    con.execute("CREATE SCHEMA analytics")
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN", "decimal(10,2)": "DECIMAL(10,2)"}
+    for name, schema in schemas.STAR_SCHEMAS.items():
+        con.execute(f"CREATE TABLE analytics.{name} ({', '.join(f'{f.name} {kinds[f.dataType.simpleString()]}' for f in schema.fields)})")
+    for r in export.read_dump(spark, f"{out}/dump").orderBy("position").collect():
+        con.execute(r.statement)
+    for name, df in wh.read_star_tables().items():
+        assert sorted(con.execute(f"SELECT * FROM analytics.{name}").fetchall()) == sorted(map(tuple, df.collect()))
+
+
+def test_changed_dump_is_refused(spark, done, tmp_path):
+    _, wh, _ = done
+    export.write_dump(wh, str(tmp_path))
+    spark.range(1).selectExpr("'INSERT INTO analytics.dim_seller VALUES (9, ''x'');'").write.mode("append").text(f"{tmp_path}/03_dim_seller")
+    with pytest.raises(ValueError, match="03_dim_seller"):
+        export.read_dump(spark, str(tmp_path))
+
+
+def test_broken_table_has_its_error_in_the_cell(spark, done, tmp_path):
+    _, wh, _ = done
+    (tmp_path / "bad.parquet").write_bytes(b"no parquet")
+    tables = {
+        "dim_seller": lambda: wh.read("dim_seller"),
+        "gone": lambda: spark.read.parquet(f"{tmp_path}/gone"),
+        "unknown": lambda: wh.read("unknown"),
+        "broken": lambda: spark.read.schema("x int").parquet(f"{tmp_path}/bad.parquet"),
+        "fact_sales": lambda: wh.read("fact_sales"),
+    }
+    cells = {r.tablename: r.record_count for r in export.profile_report(spark, tables).collect()}
+    assert (cells["dim_seller"], cells["fact_sales"]) == ("1", "2")
+    assert cells["gone"] == "error: PATH_NOT_FOUND" and cells["unknown"] == "error: FileNotFoundError"
+    assert cells["broken"].startswith("error: ")
+
+
+def test_failing_validation_is_reported_and_the_others_run(done):
+    _, wh, _ = done  # the clean layer is gone: what needs it fails
+    report = JobReport(LoadReport())
+    validate(wh, report)
+    assert set(report.errors) == {"validate_counts", "validate_price_sum"}
+    assert len(report.validations["validate_null_keys"]) == 4
+
+
+def test_rejected_records_are_kept_apart_and_fatal_unless_asked(spark, tmp_path):
+    for name, f in csv.FILE_NAMES.items():
+        header = ",".join(schemas.RAW_SCHEMAS[name].fieldNames()) + "\n"
+        (tmp_path / f).write_text(header if name != "sellers" else SELLERS + "s-1,1,city,SP\ns-2,1\ns-3,1,city,SP,more\n")
+    path = str(tmp_path / csv.FILE_NAMES["sellers"])
+    for multiline in (True, False):
+        found = csv.read_with_rejects(spark, path, schemas.RAW_SELLERS, multiline)
+        assert [r.seller_id for r in found.rows.collect()] == ["s-1"]
+        assert sorted(r.record for r in found.rejects.collect()) == ["s-2,1", "s-3,1,city,SP,more"]
+        assert all(r.file.endswith(csv.FILE_NAMES["sellers"]) for r in found.rejects.collect())
+    with pytest.raises(csv.RejectedRecords, match="'sellers': 2"):
+        csv.read_sources(spark, str(tmp_path), rejects="fail")
+    assert csv.read_sources(spark, str(tmp_path), rejects="keep").sellers.count() == 1
+    with pytest.raises(Exception):
+        csv.read_sources(spark, str(tmp_path)).sellers.collect()
+
+
+def test_bad_numbers_and_times_are_rejected_with_their_record(spark, tmp_path):
+    header = ",".join(schemas.RAW_ITEMS.fieldNames()) + "\n"
+    lines = ["o-1,1,p,s,2017-10-06 11:07:15,29.99,8.72", "o-2,one,p,s,,1.00,1.00", "o-3,1,p,s,soon,1.00,1.00", "o-4,1,p,s,,1x,1"]
+    (tmp_path / "items.csv").write_text(header + "\n".join(lines) + "\n")
+    found = csv.read_with_rejects(spark, str(tmp_path / "items.csv"), schemas.RAW_ITEMS, multiline=False)
+    assert [r.order_id for r in found.rows.collect()] == ["o-1"]
+    assert sorted(r.record for r in found.rejects.collect()) == lines[1:]
+
+
+def test_one_line_records_are_split(spark, tmp_path):
+    path = str(tmp_path / "sellers.csv")
+    with open(path, "w") as f:
+        f.write(SELLERS + "".join(f's-{i},,"",S{i % 10}\n' for i in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        rows = csv.read_csv(spark, path, schemas.RAW_SELLERS, multiline=False)
+        assert rows.rdd.getNumPartitions() > 3
+        assert rows.where("seller_city = '' and seller_zip_code_prefix is null").count() == 20_000
+        assert csv.read_csv(spark, path, schemas.RAW_SELLERS).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_text_times_are_parsed_strictly(spark, tmp_path):
+    good, bad = str(tmp_path / "good.csv"), str(tmp_path / "bad.csv")
+    with open(good, "w") as f:
+        f.write(ORDERS + "o-1,c-1,delivered,2017-01-01 00:00:00,,,2017-01-02 12:00:00,\no-2,c-1,delivered,2017-01-05 00:00:00,,,,\n")
+    with open(bad, "w") as f:
+        f.write(ORDERS + 'o-1,c-1,delivered,2017-01-01 00:00:00,,,"",\n')
+    orders = csv.text_orders(spark, good)
+    assert set(dict(orders.dtypes).values()) == {"string"}
+    assert [tuple(r) for r in analytics.delivery_days(csv.typed_orders(orders)).collect()] == [("2017-01", 1, 1.5)]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        csv.typed_orders(csv.text_orders(spark, bad)).collect()
