@@ -9,10 +9,10 @@ refuse is counted here instead:
 * ``foreign key`` — child rows (non-NULL key) with no parent;
 * ``width`` — text longer than its declared width.
 
-Each check is an aggregate that reduces map-side before its shuffle. A key's
-duplicates and its children's orphans come from one shuffle by that key, the
-not-null and width checks of a table from one scan, and the fact's keys from
-bounds and fingerprints that move no key at all.
+Each check is an aggregate that reduces map-side before its shuffle. Duplicates
+of all declared text keys and the orphans of their children come from one
+shuffle, the not-null and width checks of a table from one scan, and the fact's
+keys from bounds and fingerprints that move no key at all.
 """
 
 from __future__ import annotations
@@ -130,37 +130,71 @@ def key_facts(tables: dict[str, DataFrame], keys: dict[str, Sequence[str]]) -> t
     return facts, bounds
 
 
-def key_group(parent: DataFrame, table: str, key: str, rule: str, lookups: Sequence[tuple[DataFrame, str]]) -> list[DataFrame]:
-    """Duplicates of a parent's key and orphans of its children, from one shuffle by the key.
-
-    Keys of all tables are counted by table where they are read, so a key
-    with any number of rows sends one row from each task.
+@dataclass(frozen=True)
+class KeyGroup:
+    """A table's key, and the tables whose column of that name refers to it."""
+
+    parent: DataFrame
+    table: str
+    keys: tuple[str, ...]
+    rule: str = "primary key"
+    children: tuple[tuple[DataFrame, str], ...] = ()
+
+    def sides(self) -> list[DataFrame]:
+        """``k, side``: the parent's keys as side 0, the children's as 1 and on."""
+        whole = self.parent.dropna(how="any", subset=list(self.keys)) if self.rule == "unique" else self.parent
+        if len(self.keys) == 1:
+            k = F.col(self.keys[0]).cast("string")
+        else:  # only the first part is text, so the last mark parts them
+            k = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0002")) for c in self.keys])
+        out = [whole.select(k.alias("k"), F.lit(0).alias("side"))]
+        for at, (child, _) in enumerate(self.children, 1):
+            known = child.select(F.col(self.keys[0]).cast("string").alias("k"), F.lit(at).alias("side"))
+            out.append(known.where("k is not null"))
+        return out
+
+    def labels(self) -> list[tuple[str, str]]:
+        own = (self.table, f"{self.rule} ({', '.join(self.keys)})")
+        return [own, *[(name, f"foreign key ({self.keys[0]}) -> {self.table}") for _, name in self.children]]
+
+
+def key_checks(groups: Sequence[KeyGroup]) -> DataFrame:
+    """Duplicates of every group's key and orphans of its children, from one shuffle for all groups.
+
+    Keys are counted by group and side where they are read, so a key with any
+    number of rows sends one row from each task.
     """
-    sides = [parent.select(F.col(key).alias("k"), F.lit(0).alias("side"))]
-    for at, (child, _) in enumerate(lookups, 1):
-        sides.append(child.select(F.col(key).alias("k"), F.lit(at).alias("side")).where("k is not null"))
-    counts = [F.count_if(F.col("side") == at).alias(f"n{at}") for at in range(len(sides))]
-    by_key = _union(sides).groupBy("k").agg(*counts)
-    sums = [F.sum(F.when(F.col("n0") > 1, F.col("n0") - 1))]
-    sums += [F.sum(F.when(F.col("n0") == 0, F.col(f"n{at}"))) for at in range(1, len(sides))]
-    names = [(table, f"{rule} ({key})")] + [(name, f"foreign key ({key}) -> {table}") for _, name in lookups]
-    total = by_key.agg(*[F.coalesce(c, F.lit(0)).cast("bigint").alias(f"c{i}") for i, c in enumerate(sums)])
-    said = ", ".join(f"'{t}', '{r}', c{i}" for i, (t, r) in enumerate(names))
-    return [total.selectExpr(f"stack({len(names)}, {said}) as (table_name, rule, violations)")]
+    tagged = [side.select(F.lit(g).alias("g"), "k", "side") for g, group in enumerate(groups) for side in group.sides()]
+    n = [F.count_if(F.col("side") == at).alias(f"n{at}") for at in range(max(len(g.children) for g in groups) + 1)]
+    by_key = _union(tagged).groupBy("g", "k").agg(*n)
+    found = [F.sum(F.greatest(F.col("n0") - 1, F.lit(0)))]
+    found += [F.sum(F.when(F.col("n0") == 0, F.col(f"n{at}"))) for at in range(1, len(n))]
+    sums = by_key.groupBy("g").agg(F.array(*found).alias("found")).select("g", F.posexplode("found").alias("side", "n"))
+    said = [(g, at, *label) for g, group in enumerate(groups) for at, label in enumerate(group.labels())]
+    labels = groups[0].parent.sparkSession.createDataFrame(said, "g int, side int, table_name string, rule string").coalesce(1)
+    return labels.join(sums, ["g", "side"], "left").select(
+        "table_name", "rule", F.coalesce("n", F.lit(0)).cast("bigint").alias("violations")
+    )
+
+
+def clean_keys(tb: CleanTables) -> list[KeyGroup]:
+    items = ((tb.order_items, "tb_order_items"),)
+    return [
+        KeyGroup(tb.customers, "tb_customers", ("customer_id",), children=((tb.orders, "tb_orders"),)),
+        KeyGroup(tb.sellers, "tb_sellers", ("seller_id",), children=items),
+        KeyGroup(tb.products, "tb_products", ("product_id",), children=items),
+        KeyGroup(tb.orders, "tb_orders", ("order_id",), children=items),
+        KeyGroup(tb.order_items, "tb_order_items", ("order_id", "order_item_id")),
+    ]
 
 
 def audit_clean(tb: CleanTables) -> list[DataFrame]:
     L = schemas.VARCHAR_LIMITS
     return [
-        *key_group(tb.customers, "tb_customers", "customer_id", "primary key", [(tb.orders, "tb_orders")]),
         column_checks(tb.customers, "tb_customers", ["customer_id", "customer_unique_id"], L["customers"]),
-        *key_group(tb.sellers, "tb_sellers", "seller_id", "primary key", [(tb.order_items, "tb_order_items")]),
         column_checks(tb.sellers, "tb_sellers", ["seller_id"], L["sellers"]),
-        *key_group(tb.products, "tb_products", "product_id", "primary key", [(tb.order_items, "tb_order_items")]),
         column_checks(tb.products, "tb_products", ["product_id"], L["products"]),
-        *key_group(tb.orders, "tb_orders", "order_id", "primary key", [(tb.order_items, "tb_order_items")]),
         column_checks(tb.orders, "tb_orders", ["order_id"], L["orders"]),
-        duplicates(tb.order_items, "tb_order_items", ["order_id", "order_item_id"]),
         column_checks(tb.order_items, "tb_order_items", ["order_id", "order_item_id"]),
     ]
 
@@ -204,8 +238,6 @@ def audit_star(star: Star, deltas: dict | None = None) -> list[DataFrame]:
         else:
             parts.append(duplicates(whole[name], name, keys[:1]))
         known += [(name, f"not null ({c})", seen[name]["rows"] - seen[name][c]["n"]) for c in keys]
-        if name in UNIQUE_KEYS:
-            parts.append(duplicates(whole[name], name, UNIQUE_KEYS[name], "unique"))
     for key in STAR_KEYS["fact_sales"][1:]:
         parent, b = f"dim_{key[:-3]}", seen["fact_sales"][key]
         at = facts[parent]
@@ -227,10 +259,14 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 def audit_constraints(tb: CleanTables | None, star: Star | None, deltas: dict | None = None) -> DataFrame:
     """(table_name, rule, violations) for every declared constraint; ``deltas`` as in ``audit_star``."""
     parts: list[DataFrame] = []
+    groups: list[KeyGroup] = []
     if tb is not None:
         parts += audit_clean(tb)
+        groups += clean_keys(tb)
     if star is not None:
         parts += audit_star(star, deltas)
+        groups += [KeyGroup(getattr(star, n), n, tuple(keys), "unique") for n, keys in UNIQUE_KEYS.items()]
+    parts.append(key_checks(groups))
     return _union(parts)
 
 

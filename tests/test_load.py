@@ -231,7 +231,8 @@ def test_audit_reads_the_fact_once_and_moves_none_of_its_keys(spark, tmp_root):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # The fact's one scan is in the statistics; what is left reads the clean layer and the dimensions.
     assert ".fact_sales_" not in plan and "sale_sk" not in plan
-    assert plan.count("FileScan") <= 18 and plan.count("Exchange") <= 23
+    # One shuffle for all text keys; the others put sums of one row together.
+    assert plan.count("FileScan") <= 18 and plan.count("Exchange hashpartitioning(g") <= 4 and plan.count("Exchange") <= 12
 
 
 def test_drop_leaves_other_databases_and_roots_alone(spark, tmp_root):
