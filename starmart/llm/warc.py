@@ -62,7 +62,7 @@ def headers(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataF
 
 
 def resolve(pages: DataFrame, min_bytes: int, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """Records to write: ``page_id, url, payload_digest, payload_bytes, record_type, refers_to, payload``."""
+    """Records to write: ``page_id, url, payload_digest, payload_bytes, record_type, refers_to, payload, copy``."""
     heads = headers(pages, id_col, url_col, html_col)
     long_enough = F.col("payload_bytes") >= min_bytes
     bucket = F.pmod(F.xxhash64("payload_digest"), F.lit(BUCKETS)).cast("int")
@@ -70,10 +70,12 @@ def resolve(pages: DataFrame, min_bytes: int, id_col: str, url_col: str, html_co
     buckets = stage(twice.select(bucket.alias("__b")).distinct())
     marked = heads.withColumn("__bucket", F.when(long_enough, bucket))
     on = F.col("__bucket") == F.col("__b")
-    out = ["page_id", "url", "payload_digest", "payload_bytes", "record_type", "refers_to", "payload"]
+    out = ["page_id", "url", "payload_digest", "payload_bytes", "record_type", "refers_to", "payload", "copy"]
     none = F.lit(None).cast("long").alias("refers_to")
+    # What tells records of one page and payload apart: the row's number, or the number among equal rows.
+    row = F.concat(F.lit("row"), F.monotonically_increasing_id().cast("string")).alias("copy")
     single = marked.join(F.broadcast(buckets), on, "left_anti").select(
-        *out[:4], F.lit(RESPONSE).alias("record_type"), none, "payload"
+        *out[:4], F.lit(RESPONSE).alias("record_type"), none, "payload", row
     )
     if buckets.isEmpty():
         return single
@@ -85,12 +87,14 @@ def resolve(pages: DataFrame, min_bytes: int, id_col: str, url_col: str, html_co
     # Equal payloads: any of a group's is the response's.
     payloads = shared.groupBy(*_KEY).agg(F.first("payload").alias("payload"))
     responses = payloads.join(best, _KEY).select(
-        "best.page_id", "best.url", "payload_digest", "payload_bytes", F.lit(RESPONSE).alias("record_type"), none, "payload"
+        "best.page_id", "best.url", "payload_digest", "payload_bytes", F.lit(RESPONSE).alias("record_type"), none, "payload",
+        F.substring("full_digest", 1, 16).alias("copy"),
     )
     is_best = F.col("page_id").eqNullSafe(F.col("best.page_id")) & F.col("url").eqNullSafe(F.col("best.url"))
     others = keys.join(best, _KEY).withColumn("n", F.col("n") - F.when(is_best, 1).otherwise(0)).where("n > 0")
     revisits = others.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).select(
-        *out[:4], F.lit(REVISIT).alias("record_type"), F.col("best.page_id").alias("refers_to"), F.lit("").alias("payload")
+        *out[:4], F.lit(REVISIT).alias("record_type"), F.col("best.page_id").alias("refers_to"), F.lit("").alias("payload"),
+        F.concat(F.substring("full_digest", 1, 16), F.lit(":"), F.hex(F.xxhash64("url")), F.lit("."), F.col("i").cast("string")).alias("copy"),
     )
     return single.unionByName(responses).unionByName(revisits)
 
@@ -101,8 +105,10 @@ def _field(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), safe, F.lit(END)), F.lit(""))
 
 
-def _urn(page_id: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("none")), F.lit(">"))
+def _urn(page_id: Column, copy: Column) -> Column:
+    """The page, the payload and what tells equal ones apart: no two records have the same."""
+    page = F.coalesce(page_id.cast("string"), F.lit("none"))
+    return F.concat(F.lit("<urn:page:"), F.concat_ws(":", page, F.col("payload_digest"), copy), F.lit(">"))
 
 
 def record(date: str) -> Column:
@@ -111,13 +117,13 @@ def record(date: str) -> Column:
     return F.concat(
         F.lit("WARC/1.0" + END),
         _field("WARC-Type", F.col("record_type")),
-        _field("WARC-Record-ID", _urn(F.col("page_id"))),
+        _field("WARC-Record-ID", _urn(F.col("page_id"), F.col("copy"))),
         _field("WARC-Date", F.lit(date)),
         _field("WARC-Target-URI", F.col("url")),
         _field("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         _field("X-Payload-Length", F.col("payload_bytes")),
         _field("WARC-Profile", F.when(revisit, F.lit(PROFILE))),
-        _field("WARC-Refers-To", F.when(revisit, _urn(F.col("refers_to")))),
+        _field("WARC-Refers-To", F.when(revisit, _urn(F.col("refers_to"), F.substring_index("copy", ":", 1)))),
         _field("Content-Type", F.lit("text/html;charset=utf-8")),
         _field("Content-Length", F.octet_length("payload")),
         F.lit(END),
@@ -167,7 +173,7 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def _page(urn: str | None) -> int | None:
-    number = (urn or "").removeprefix("<urn:page:").removesuffix(">")
+    number = (urn or "").removeprefix("<urn:page:").removesuffix(">").split(":")[0]
     return int(number) if number not in ("", "none") else None
 
 

@@ -67,6 +67,19 @@ def test_warc_records_read_back(spark, pages):
     assert warc.read_archives(spark, warc.write_archives(pages.limit(0))).count() == 0
 
 
+def test_warc_record_ids_are_unique_and_revisits_name_a_response(pages):
+    import glob
+    import gzip
+
+    path = warc.write_archives(pages.unionByName(pages.limit(4)))  # more repeated rows, of short payloads too
+    found = [fields for f in glob.glob(f"{path}/*.gz") for fields, _ in warc.parse(gzip.open(f).read())]
+    ids = [f["warc-record-id"] for f in found]
+    assert len(ids) == len(set(ids)) == len(PAGES) + 4
+    responses = {f["warc-record-id"] for f in found if f["warc-type"] == "response"}
+    revisits = [f for f in found if f["warc-type"] == "revisit"]
+    assert len(revisits) >= 3 and {f["warc-refers-to"] for f in revisits} <= responses
+
+
 def test_warc_wrong_length_raises():
     good = b"WARC/1.0\r\nContent-Length: 2\r\n\r\nab\r\n\r\n"
     assert [p for _, p in warc.parse(good * 2)] == [b"ab", b"ab"]
