@@ -394,3 +394,89 @@ def test_pipeline_is_brute_force(spark):
         assert abs(target - taken) <= max(own.values()) / 2 + 1
         whole = int(target // sizes[s]) if sizes[s] else 0
         assert {copies[d] for d in own} <= {whole, whole + 1}
+
+
+def test_pipeline_on_odd_rows_and_on_none(spark, tmp_path):
+    import corpus_pipeline
+    from tests.llm.conftest import CLASHES, LONG, NEAR, SCHEMA, STORY
+
+    other = " ".join(f"another{i}" for i in range(80))
+    rows = [
+        (1, STORY, "en", "a"),
+        (2, STORY, "en", "a"),  # equal texts: the largest id stays
+        (3, NEAR, "en", "a"),
+        (3, NEAR, "en", "a"),
+        (4, None, None, None),
+        (5, "", "en", "a"),
+        (6, " \n\t ", "en", "a"),
+        (7, LONG, "fr", "a"),
+        (7, LONG, "fr", "a"),  # a repeated row counts once
+        (8, "too short", "en", "a"),
+        (9, "the same words again and again " * 40, "en", "a"),
+        (None, other, "en", "a"),
+        (10, "unlike " + " ".join(f"tie{i}" for i in range(90)), None, None),
+        (10, "unlike " + " ".join(f"knot{i}" for i in range(90)), None, None),  # one id, two texts
+    ]
+    df = spark.createDataFrame([(*r, len(r[1] or ""), *CLASHES.values()) for r in rows], SCHEMA)
+    df.repartition(3).write.parquet(f"{tmp_path}/some/documents.parquet")
+    near = {c for _, _, c in brute.components([(2, STORY), (3, NEAR)])}
+    found = corpus_pipeline.run(spark, f"{tmp_path}/some").collect()
+    texts = {2: STORY, 3: NEAR, 7: LONG, None: other}
+    assert {r.doc_id for r in found} == near | {7, None, 10}
+    assert all(r.decoded_sha256 == brute.sha(texts[r.doc_id]) for r in found if r.doc_id != 10)
+    assert len({r.decoded_sha256 for r in found if r.doc_id == 10}) == 2
+    assert max(Counter((r.doc_id, r.decoded_sha256) for r in found).values()) <= 2  # the cap of the mix
+    df.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
+
+
+@pytest.mark.parametrize("dims,bits", [(2, 4), (3, 3), (4, 2)])
+def test_hilbert_curve_visits_every_cell_by_single_steps(dims, bits):
+    grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims, indexing="ij"), axis=-1).reshape(-1, dims)
+    index = hilbert.hilbert_index(grid, bits)
+    assert sorted(index.tolist()) == list(range(len(grid)))
+    path = grid[np.argsort(index)]
+    assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+def brute_shards(rows, shards=16):
+    """(doc_id, size, crc, hilbert, shard, slot) of (doc_id, text, source, lang) rows: quantiles, cells, curve, order."""
+    import math
+    import zlib
+
+    def rank(values):
+        known = sorted({v for v in values if v is not None}, key=lambda v: v.encode())
+        return [None if v is None else known.index(v) for v in values]
+
+    size = [len((t or "").encode()) + 1 for _, t, _, _ in rows]
+    columns = [rank([r[2] for r in rows]), rank([r[3] for r in rows]), size, [r[0] for r in rows]]
+    cells = []
+    for c in columns:
+        known = sorted(v for v in c if v is not None)
+        n = 1 << hilbert.BITS
+        cuts = sorted({known[max(0, math.ceil(i / n * len(known)) - 1)] for i in range(1, n)}) if known else []
+        cells.append([0 if v is None else sum(cut <= v for cut in cuts) for v in c])
+    index = hilbert.hilbert_index(np.array(cells).T, hilbert.BITS).tolist()
+    crc = [zlib.crc32((t or "").encode()) for _, t, _, _ in rows]
+    order = sorted(zip(index, crc, [(r[0] is not None, r[0] or 0) for r in rows], size))
+    out, total = [], len(rows)
+    for place, (h, x, (known, d), n) in enumerate(order):
+        shard = place * shards // total
+        first = -(-shard * total // shards)
+        out.append((d if known else None, n, x, h, shard, place - first))
+    return out
+
+
+@pytest.mark.parametrize("table", ["edge", "given"])
+def test_hilbert_query_is_brute_force(request, spark, tmp_path, table):
+    df = request.getfixturevalue(table)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = [(r.doc_id, r.text, r.source, r.lang) for r in df.select("doc_id", "text", "source", "lang").collect()]
+    found = queries.op7_hilbert_shards(spark, str(tmp_path)).collect()
+    assert bag((r.doc_id, r.size, r.text_crc32, r.hilbert, r.shard, r.slot) for r in found) == bag(brute_shards(rows))
+    assert {(r.law, r.grown_shard) for r in found} == {("rows", None)}
+
+
+def test_hilbert_query_on_no_rows(spark, empty, tmp_path):
+    empty.write.parquet(f"{tmp_path}/documents.parquet")
+    assert queries.op7_hilbert_shards(spark, str(tmp_path)).collect() == []
