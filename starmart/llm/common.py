@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: ASCII white space: what separates words everywhere in this package.
@@ -86,6 +87,50 @@ def ranked(df: DataFrame, order: Sequence[Column], name: str, total: str | None
     return out.drop(part, place, "__rank_start")
 
 
+def quantiles(df: DataFrame, names: Sequence[str], shares: Sequence[float]) -> dict[str, list]:
+    """For each column the least of its values that ``share`` of its non-null rows do not exceed, for each share.
+
+    Exact. Values are counted first (a frequent one is one row for each task), then
+    lie sorted in range partitions; the driver gets the rows of each partition and
+    column, and the values asked for, never the values.
+    """
+    spark = df.sparkSession
+    value = F.explode(F.array(*[F.struct(F.lit(i).alias("d"), F.col(c).alias("v")) for i, c in enumerate(names)])).alias("x")
+    counted = df.select(value).select("x.d", "x.v").where("v is not null").groupBy("d", "v").agg(F.count(F.lit(1)).alias("n"))
+    laid = stage(
+        counted.repartitionByRange(shuffle_partitions(spark), "d", "v")
+        .sortWithinPartitions("d", "v")
+        .withColumn("p", F.spark_partition_id())
+    )
+    before: dict[int, int] = {}
+    starts, wanted = [], []
+    sizes = sorted(tuple(r) for r in laid.groupBy("d", "p").agg(F.sum("n")).collect())
+    total = {d: sum(n for e, _, n in sizes if e == d) for d in {r[0] for r in sizes}}
+    for d, p, n in sizes:
+        at = before.get(d, 0)
+        before[d] = at + n
+        # The place, from 1, of each share that this partition holds.
+        for k, share in enumerate(shares):
+            place = max(1, math.ceil(share * total[d]))
+            if at < place <= at + n:
+                wanted.append((d, p, k, place - at))
+        starts.append((d, p))
+    found: dict[str, list] = {c: [] for c in names}
+    if not wanted:
+        return found
+    asked = spark.createDataFrame(wanted, "d int, p int, k int, place long").groupBy("d", "p").agg(
+        F.sort_array(F.collect_list(F.struct("place", "k"))).alias("asked")
+    )
+    w = Window.partitionBy("d", "p").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = laid.join(F.broadcast(asked), ["d", "p"]).withColumn("upto", F.sum("n").over(w))
+    hit = upto.withColumn(
+        "hit", F.filter("asked", lambda a: (a["place"] <= F.col("upto")) & (a["place"] > F.col("upto") - F.col("n")))
+    ).where(F.size("hit") > 0)
+    for d, _, v in sorted(hit.select("d", F.explode("hit.k").alias("k"), "v").collect()):
+        found[names[d]].append(v)
+    return found
+
+
 def one_row_each(docs: DataFrame, verdicts: DataFrame, key: Sequence[str]) -> DataFrame:
     """The rows of ``docs`` whose key stays, one row for each key.
 

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import ranked, stage
+from starmart.llm.common import quantiles, ranked, stage
 
 BITS = 6
 
@@ -80,8 +80,7 @@ def with_curve_index(df: DataFrame, dims: Sequence[Column], bits: int = BITS) ->
     keys = [f"__dim_{i}" for i in range(len(dims))]
     numbered = df.withColumns({k: d.cast("double") for k, d in zip(keys, dims)})
     share = [i / (1 << bits) for i in range(1, 1 << bits)]
-    found = numbered.agg(*[F.percentile_approx(k, share, 10_000) for k in keys]).first()
-    cuts = [np.unique(np.array(c or [], float)) for c in found]
+    cuts = [np.unique(np.array(c, float)) for c in quantiles(numbered.select(keys), keys, share).values()]
 
     @F.pandas_udf("long")
     def index(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:

@@ -36,6 +36,8 @@ from starmart.llm.components import components
 SEED = 42
 #: Fingerprints of one bucket that a task compares at once.
 BUCKET = 8192
+#: Random fingerprints that a bucket holds on average at most, before another block makes its keys longer.
+LOAD = 1024
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -241,9 +243,20 @@ def link_fingerprints(fps: DataFrame, distance: int, blocks: int, bucket: int =
     return links.unionByName(more.select("u", "v"))
 
 
-def components_of(fps: DataFrame, distance: int, blocks: int, bucket: int = BUCKET) -> DataFrame:
+def blocks_for(distinct: int, distance: int, load: int = LOAD) -> int:
+    """The fewest blocks, two over ``distance`` at least, whose keys put ``load`` random fingerprints in a bucket at most."""
+    for blocks in range(distance + 2, 64):
+        cuts = [round(i * 64 / blocks) for i in range(blocks + 1)]
+        bits = sum(sorted(b - a for a, b in zip(cuts, cuts[1:]))[: blocks - distance])
+        if distinct <= load << bits:
+            return blocks
+    return 64
+
+
+def components_of(fps: DataFrame, distance: int, blocks: int | None = None, bucket: int = BUCKET) -> DataFrame:
     """``fps(doc_id, fp, ...)`` → ``(fp, root, component_id)``, one row for each fingerprint."""
     classes = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    blocks = blocks or blocks_for(classes.count(), distance)
     links = link_fingerprints(classes.select("fp"), distance, blocks, bucket)
     linked = stage(components(links).select(F.col("node").alias("fp"), "root"))
     members = stage(linked.join(classes, "fp").select("fp", "root", "least"))
@@ -257,7 +270,7 @@ def near_duplicates(
     docs: DataFrame,
     words: int = 4,
     distance: int = 4,
-    blocks: int = 6,
+    blocks: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
     bucket: int = BUCKET,
@@ -266,8 +279,7 @@ def near_duplicates(
 
     ``blocks`` sets the work, never the result: a key has about
     ``64 * (blocks - distance) / blocks`` bits (6: 21, 7: 27, 8: 32), and a
-    random pair meets with that chance; raise it when the distinct
-    fingerprints come near two to that power.
+    random pair meets with that chance. None: ``blocks_for`` the distinct fingerprints.
     """
     fps = stage(fingerprints(docs, words, id_col, text_col).select("doc_id", "fp"))
     found = components_of(fps, distance, blocks, bucket)
@@ -279,7 +291,7 @@ def drop_near_duplicates(
     docs: DataFrame,
     words: int = 4,
     distance: int = 4,
-    blocks: int = 6,
+    blocks: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:

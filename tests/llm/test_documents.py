@@ -5,11 +5,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from starmart.llm import bpe, components, exact_dedup, hilbert, mixing, repetition, simhash, wavelet
 from starmart.llm import queries
+from starmart.llm.common import quantiles
 from tests.llm import brute
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
@@ -327,6 +329,49 @@ def test_wavelet_words_are_cut_as_the_library_cuts_them():
         assert np.frombuffer(encode(t), np.uint16).tolist() == lib.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_wavelet_batches_give_what_single_texts_give(monkeypatch):
+    import random
+
+    rng, encode = random.Random(3), wavelet.library_encoder(LIBRARY)
+    pieces = ["word", "Word,", "a", "\n", "\n\n", "  ", " ", "12", "don't", "é", "日本", "<|endoftext|>", "x.\ny", "\t", "\u00a0", ""]
+    texts = [None, "", " ", "\n", "one", " lead", "trail ", "a  b"]
+    texts += ["".join(rng.choice(pieces) + rng.choice(["", " "]) for _ in range(rng.randrange(60))) for _ in range(400)]
+    wanted = [np.frombuffer(encode(t or ""), "<u2").tolist() + [7] for t in texts]
+    for text_bytes, at_once, remembered in ((8_000_000, 1 << 20, 1 << 20), (300, 50, 400), (1, 1, 0)):
+        monkeypatch.setattr(wavelet, "REMEMBERED_BYTES", remembered)
+        monkeypatch.setattr(wavelet, "TEXT_BYTES", text_bytes)
+        monkeypatch.setattr(wavelet, "IDS_AT_ONCE", at_once)
+        found = []
+        for part in (pa.array(texts, pa.string()), pa.array([], pa.string()), pa.array(texts * 2, pa.string()).slice(5, 9)):
+            for ids, sizes in encode.batch(part, 7):
+                found += [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+        assert found == wanted + (wanted * 2)[5:14]
+
+
+def test_wavelet_shards_split_an_id_that_is_more_than_one():
+    cuts, crc = np.array([3, 5, 5, 5, 9]), np.array([0, (1 << 32) - 1] * 3)
+    shards = wavelet.shards_of(cuts, np.array([2, 4, 5, 5, 9, 10]), crc).tolist()
+    assert shards == [0, 1, 1, 4, 4, 5]
+    assert wavelet.shards_of(np.array([], np.int64), np.array([1]), np.array([9])).tolist() == [0]
+
+
+def test_quantiles_are_exact(spark):
+    import math
+
+    rows = [(None if i % 7 == 0 else i * i % 101, 5 if i < 400 else i, None) for i in range(600)]
+    df = spark.createDataFrame(rows, "a long, b long, c long").repartition(5)
+    shares = [i / 64 for i in range(1, 64)]
+    found = quantiles(df, ["a", "b", "c"], shares)
+    for i, name in enumerate("abc"):
+        known = sorted(r[i] for r in rows if r[i] is not None)
+        assert found[name] == [known[max(0, math.ceil(s * len(known)) - 1)] for s in shares if known]
+
+
+def test_simhash_blocks_grow_with_the_fingerprints():
+    assert [simhash.blocks_for(n, 4) for n in (0, 1 << 30, 1 << 31, 1 << 40)] == [6, 6, 7, 8]
+    assert simhash.blocks_for(9, 4, load=1) == 6 and simhash.blocks_for(1 << 22, 4, load=1) == 7
+
+
 def test_wavelet_access_count_and_occurrence():
     r = np.random.default_rng(2)
     for ids in (r.integers(0, 50257, 3000), r.integers(0, 5, 2000), np.zeros(9, int), np.zeros(0, int)):
