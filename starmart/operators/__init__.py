@@ -3,7 +3,7 @@
 from starmart.operators.dedup import distinct_on, first_by_key
 from starmart.operators.incremental import absent_from, present_in
 from starmart.operators.series import day_series
-from starmart.operators.surrogate import assign_surrogate_keys, next_key
+from starmart.operators.surrogate import assign_keys_in_groups, assign_surrogate_keys, next_key
 
 __all__ = [
     "distinct_on",
@@ -11,6 +11,7 @@ __all__ = [
     "absent_from",
     "present_in",
     "day_series",
+    "assign_keys_in_groups",
     "assign_surrogate_keys",
     "next_key",
 ]

@@ -61,3 +61,28 @@ def test_many_partitions(spark):
     got = assign_surrogate_keys(df, ["o", "n"], "sk", partitions=2000)  # 2000 partitions
     exp = _expected(df, ["o", "n"], 1)
     assert {(r.o, r.n): r.sk for r in got.collect()} == exp
+
+
+def test_keys_in_groups_equal_global_rank_and_move_no_row(spark):
+    """Groups are numbered by range, the rows of a bucketed table stay where they are; one group holds a third."""
+    from starmart.operators import assign_keys_in_groups
+    from starmart.session import stage_bucketed
+
+    df = spark.range(3000).selectExpr("if(id % 3 = 0, 'HOT', cast(id div 4 as string)) as o", "cast(3000 - id as int) as n")
+    rows = stage_bucketed(df, "o", 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = assign_keys_in_groups(rows, "o", ["n"], "sk", start=11, partitions=5)
+        got = {(r.o, r.n): r.sk for r in out.collect()}
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = sorted(("HOT" if i % 3 == 0 else str(i // 4), 3000 - i) for i in range(3000))
+    assert got == {k: at for at, k in enumerate(want, 11)}
+    assert not [x for x in plan.split("\n") if "Exchange" in x and "n#" in x] and "Bucketed: true" in plan
+
+
+def test_keys_in_groups_of_no_rows(spark):
+    from starmart.operators import assign_keys_in_groups
+
+    assert assign_keys_in_groups(spark.createDataFrame([], "o string, n int"), "o", ["n"], "sk").count() == 0
