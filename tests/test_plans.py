@@ -104,3 +104,32 @@ def test_scans_prune_columns(star):
     p = star.fact_sales.select("date_sk", "price").where("price > 0")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<date_sk:bigint,price:decimal(10,2)>" in p
     assert "PushedFilters" in p and "GreaterThan(price" in p
+
+
+def test_orders_of_a_load_are_read_from_what_was_written_once(spark):
+    p = plan(registry._inputs(spark, SF).orders)
+    assert "Join" not in p and "lineitem" not in p
+
+
+def test_cube_cells_are_summed_by_month_where_sales_are_read(spark, star, monkeypatch):
+    seen = []
+    monkeypatch.setattr(analytics, "stage_bucketed", lambda df, by, n: seen.append(plan(df)) or df)
+    analytics.cube_cells(star)
+    moved = [x for x in seen[0].split("\n") if "Exchange" in x and "Broadcast" not in x]
+    assert len(moved) == 1 and "month" in moved[0] and "date_sk" not in moved[0]
+
+
+def test_candidates_are_dealt_once_by_order(spark, star):
+    """The guard and the key assignment read candidates where they lie; neither moves one."""
+    from starmart.plans import fact
+
+    tb = registry.stored(spark, SF)[0]
+    dims = (star.dim_customer, star.dim_product, star.dim_seller, star.dim_date)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        staged = fact.stage_candidates(fact.fact_candidates(tb.order_items, tb.orders, *dims))
+        found = exchanges(fact.key_fact(staged, 1))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not [x for x in found if "product_sk" in x or "order_item_id" in x]
+    assert fact.key_fact(staged, 1).count() == star.fact_sales.count()
